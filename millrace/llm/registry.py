@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import simhash
+from millrace.llm import decontaminate, packing, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,3 +28,27 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, radius=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), most=1024, end_id=2)
+
+
+@query
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, p_insult, p_contempt, p_toxic, rejected of every document."""
+    return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id and the place and size of the overlap, for every text and item that overlap."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
