@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def units(rows: DataFrame, tile: int, partitions: int | None = None) -> DataFrame:
-    """``rows`` (bucket, id, ...) with a unit key, sorted so that a unit's rows are adjacent.
+def units(rows: DataFrame, tile: int, deal: bool = True) -> DataFrame:
+    """``rows`` (bucket, id, ...) with a unit key; if ``deal``, sorted so that a unit's rows are adjacent.
 
     Buckets with a single row are dropped: they hold no pair. Adds ``unit``
     (long) and ``side`` (0, 1: the tile it stands in; -1 where both are one).
@@ -32,8 +32,7 @@ def units(rows: DataFrame, tile: int, partitions: int | None = None) -> DataFram
     side = F.when(F.col("_p.i") == F.col("_p.j"), -1).when(F.col("_o") == F.col("_p.i"), 0).otherwise(1).cast("byte")
     dealt = dealt.withColumn("unit", F.xxhash64("bucket", "_p.i", "_p.j")).withColumn("side", side).drop("_n", "_t", "_o", "_p")
     keys = ["unit", "bucket"]
-    dealt = dealt.repartition(partitions, *keys) if partitions else dealt.repartition(*keys)
-    return dealt.sortWithinPartitions(*keys, "side", "id")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys, "side", "id") if deal else dealt
 
 
 def each_unit(work: Callable[[pa.Table], pa.RecordBatch | None], keys: tuple[str, ...] = ("unit", "bucket")) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

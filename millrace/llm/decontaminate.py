@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import bloom
 from millrace.llm.scratch import keep
 
 #: Spaced seeds: 1 counts, 0 is ignored (fixed values). Seven words of spans of ten to thirteen.
@@ -70,20 +71,6 @@ def whole_hash(words: np.ndarray) -> int:
     return int(seed_hashes(words, "1" * len(words), 100 + len(words))[0])
 
 
-def bloom_places(h: np.ndarray, bits: int, which: int) -> np.ndarray:
-    """Bit number of each hash under one of the filter's four functions."""
-    return ((h & np.uint64(0xFFFFFFFF)) + np.uint64(which + 1) * (h >> np.uint64(32))) % np.uint64(bits)
-
-
-def passing(h: np.ndarray, held: np.ndarray) -> np.ndarray:
-    """Indices of the hashes that the filter, an array of 64-bit words, lets through."""
-    live = np.arange(len(h))
-    for i in range(4):
-        p = bloom_places(h[live], 64 * len(held), i)
-        live = live[(held[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)]
-    return live
-
-
 def item_seeds(items: DataFrame, id_col: str, text_col: str, masks: tuple[str, ...]) -> DataFrame:
     """item_row, item, seed, at and words (binary) of every window of every item; short items once, with their length."""
     span = max(map(len, masks))
@@ -109,23 +96,6 @@ def item_seeds(items: DataFrame, id_col: str, text_col: str, masks: tuple[str, .
     return rows.mapInArrow(run, f"item_row long, item {rows.schema['item'].dataType.simpleString()}, seed long, at int, short int, words binary")
 
 
-def bloom(seeds: DataFrame, filter_mb: float) -> np.ndarray:
-    """Bits of the filter as bytes: 16 bits for each hash, ``filter_mb`` at most; built in parts of 64 bits on the executors."""
-    n = seeds.count()
-    bits = int(min(filter_mb * 8e6, max(1 << 16, 16 * n))) // 64 * 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = batch.column(0).to_numpy().view(np.uint64)
-            places = np.unique(np.concatenate([bloom_places(h, bits, i) for i in range(4)]))
-            yield pa.RecordBatch.from_arrays([pa.array((places >> np.uint64(6)).view(np.int64)), pa.array((np.uint64(1) << (places & np.uint64(63))).view(np.int64))], names=["word", "bit"])
-
-    parts = seeds.select("seed").mapInArrow(run, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(bits // 64, np.uint64)
-    out[parts["word"].to_numpy()] = parts["bits"].to_numpy().view(np.uint64)
-    return out
-
-
 def overlap(text: np.ndarray, item: np.ndarray, shift: int, agree: float) -> tuple[int, int, int]:
     """(first item word, words, agreeing words) of the longest stretch of ``item`` that ``text`` has from ``shift`` on.
 
@@ -153,7 +123,7 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
     """
     seeds = keep(item_seeds(items, item_col, item_text_col, masks), "item-seeds")
     lengths = [r[0] for r in seeds.where("short > 0").select("short").distinct().collect()]  # below the masks' span
-    shared = docs.sparkSession.sparkContext.broadcast((bloom(seeds, filter_mb), sorted(lengths)))
+    shared = docs.sparkSession.sparkContext.broadcast((bloom.build(seeds.select("seed"), filter_mb), sorted(lengths)))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, short = shared.value
@@ -165,7 +135,7 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
                 runs = [(m, k) for k, m in enumerate(masks)] + [("1" * n, 100 + n) for n in short]
                 for mask, k in runs:
                     h = seed_hashes(w, mask, k)
-                    live = passing(h, held)
+                    live = bloom.passing(h, held)
                     if len(live):
                         own_seed.append(h[live].view(np.int64))
                         own_at.append(live)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, packing, simhash, toxicity
+from millrace.llm import decontaminate, packing, paragraphs, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,9 @@ def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id and the place and size of the overlap, for every text and item that overlap."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of a repeated passage: doc_id, line, place, component, number of copies, and whether it is the one kept."""
+    return paragraphs.copied(table(spark, sf_dir, "documents")).drop("text_hash")

@@ -93,10 +93,11 @@ class Link:
         return _p(rows.sums(self.weights) + before @ self.chain + self.bias)
 
 
-def fit(name: str, rows: Rows, before: np.ndarray, y: np.ndarray, width: int, best: int = 3000, steps: int = 200, l2: float = 2e-4, rate: float = 0.15) -> Link:
+def fit(name: str, rows: Rows, before: np.ndarray, y: np.ndarray, width: int, best: int = 3000, steps: int = 120, l2: float = 2e-4, rate: float = 0.15) -> Link:
     """Full-batch Adam on the mean log loss with an L2 penalty; the same input gives the same weights.
 
-    Of the features, the ``best`` whose share of rows differs most between the two labels (in standard errors) get a weight.
+    Of the features, the ``best`` whose share of rows differs most between the two labels (in standard errors) get a
+    weight. A feature's value is the logarithm of the ratio of its shares, so a rare one that is sure counts for much.
     """
     n, k = len(y), before.shape[1]
     row = np.repeat(np.arange(n), np.diff(rows.at))
@@ -111,18 +112,20 @@ def fit(name: str, rows: Rows, before: np.ndarray, y: np.ndarray, width: int, be
     number[seen] = np.arange(len(seen))
     cols = number[rows.cols]
     row, cols = row[cols >= 0], cols[cols >= 0]
+    ratio = np.log((with_y + 1) / (n1 + 2) / ((have - with_y + 1) / (n0 + 2)))[seen]
+    value = ratio[cols]
     w = np.zeros(len(seen) + k + 1)
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        p = _p(np.bincount(row, weights=w[cols], minlength=n) + before @ w[len(seen) : -1] + w[-1])
+        p = _p(np.bincount(row, weights=w[cols] * value, minlength=n) + before @ w[len(seen) : -1] + w[-1])
         d = (p - y) / n
-        g = np.concatenate([np.bincount(cols, weights=d[row], minlength=len(seen)), before.T @ d, [d.sum()]])
+        g = np.concatenate([np.bincount(cols, weights=d[row] * value, minlength=len(seen)), before.T @ d, [d.sum()]])
         g[:-1] += l2 * w[:-1]
         m = 0.9 * m + 0.1 * g
         v = 0.999 * v + 0.001 * g * g
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     full = np.zeros(width)
-    full[seen] = w[: len(seen)]
+    full[seen] = w[: len(seen)] * ratio
     return Link(name, full, w[len(seen) : -1], float(w[-1]))
 
 
@@ -143,7 +146,7 @@ class Chain:
         return out
 
 
-def train(rows: Rows, targets: dict[str, np.ndarray], bits: int, folds: int = 4) -> Chain:
+def train(rows: Rows, targets: dict[str, np.ndarray], bits: int, folds: int = 3) -> Chain:
     """A chain over ``targets`` in their order; row i belongs to fold i mod ``folds``."""
     n = len(rows.at) - 1
     fold = np.arange(n) % folds
@@ -174,7 +177,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 6000, bits: int = 18,
     Only feature numbers of the sample reach the driver, not texts.
     """
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y"))
-    ids = [r[0] for r in known.select(id_col, "y").orderBy(F.xxhash64(id_col), id_col).limit(most).select(id_col).collect()]
+    known = known.orderBy(F.xxhash64(id_col), id_col).limit(most)
     names = list(seeds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,18 +188,16 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = 6000, bits: int = 18,
                 cols.append(features(text, bits).tolist())
                 words = set(_WORD.findall(text.lower()))
                 marks.append([int(any(w.startswith(seeds[c]) for w in words)) for c in names])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cols, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int32()))], names=["id", "cols", "marks"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cols, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int32()))], names=["id", "y", "cols", "marks"])
 
-    chosen = docs.where(F.col(id_col).isin(ids) & F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")) if ids else None
-    if chosen is None:
-        return Chain(bits)
+    chosen = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    chosen = chosen.join(F.broadcast(known.select(F.col(id_col).alias("id"), "y")), "id").select("id", "text", "y")  # at most ``most`` rows
     kind = chosen.schema["id"].dataType.simpleString()
-    sample = chosen.mapInArrow(run, f"id {kind}, cols array<int>, marks array<int>").toArrow()
-    label = {r[0]: r[1] for r in known.where(F.col(id_col).isin(ids)).collect()}
+    sample = chosen.mapInArrow(run, f"id {kind}, y int, cols array<int>, marks array<int>").toArrow()
     order = sorted(range(sample.num_rows), key=lambda i: (zlib.crc32(str(sample["id"][i].as_py()).encode()), str(sample["id"][i].as_py())))
     rows = Rows.of([sample["cols"][i].values.to_numpy(zero_copy_only=False) for i in order])
-    y = np.array([label[sample["id"][i].as_py()] > 0 for i in order], dtype=float)
-    if len(set(y.tolist())) < 2:
+    y = np.array([sample["y"][i].as_py() > 0 for i in order], dtype=float)
+    if len(set(y.tolist())) < 2:  # also if there is no row
         return Chain(bits)
     marks = np.array([sample["marks"][i].as_py() for i in order], dtype=float).reshape(len(order), -1)
     return train(rows, {c: marks[:, k] * y for k, c in enumerate(names)} | {label_col: y}, bits)
