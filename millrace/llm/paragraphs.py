@@ -151,7 +151,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, filter_mb: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
         for batch in batches:
-            at = batch.column(1).to_numpy().view(np.uint64)
+            at = batch.column(0).to_numpy().view(np.uint64)
             live = bloom.passing(at, held)
             out = [np.unique(shingle_hashes(word_hashes(batch.column(3)[i].as_py().lower().split()), size)).tobytes() for i in live.tolist()]
             yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(live)) for k in range(3)], pa.array(out, pa.binary())], names=["spot", "text_hash", "line", "shingles"])
