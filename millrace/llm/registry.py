@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, packing, paragraphs, simhash, toxicity, url_filter, warc
+from millrace.llm import decontaminate, hnsw, language_id, packing, paragraphs, simhash, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,3 +128,18 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
 FROM f
 """
+
+
+@query
+def op4_hnsw_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept."""
+    return hnsw.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+@query
+def op7_cross_parsing_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
+    model = language_id.learn(docs.where(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
