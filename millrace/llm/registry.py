@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, hnsw, language_id, packing, paragraphs, simhash, toxicity, url_filter, warc
+from millrace.llm import decontaminate, hnsw, language_id, license_scan, packing, paragraphs, simhash, toxicity, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -143,3 +143,10 @@ def op7_cross_parsing_language_id(spark: SparkSession, sf_dir: str) -> DataFrame
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
     model = language_id.learn(docs.where(~held_out))
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every document: doc_id, paragraph, place, family, probability, best template, share of it found, confirmed."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.learn(docs))
