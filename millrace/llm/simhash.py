@@ -24,6 +24,7 @@ input are ignored, so their names cannot clash. An empty table gives an empty on
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Iterator
 
@@ -33,8 +34,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import bloom
 from millrace.llm.buckets import Forest, each_unit, units
 from millrace.llm.components import components
+from millrace.llm.paragraphs import jaccard_edges
 from millrace.llm.scratch import keep
 
 SEED = 42
@@ -161,3 +164,129 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reach = joined.join(least, "component").select("fp", "reach")
     named = keep(classes.join(reach, "fp", "left").select("fp", F.coalesce("reach", "least").alias("component_id")), "fp-components")
     return marked.join(named, "fp").select(id_col, "fp", "component_id")
+
+
+# Near-duplicate texts: fingerprints only bring pairs together, exact similarity decides.
+
+
+def key_plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
+    """(bits of a key, number of keys) for n classes.
+
+    Two texts with Jaccard similarity J have shingle vectors at cosine 2J / (1 + J), so a
+    fingerprint bit differs with probability angle / pi. Keys are long enough that a
+    bucket of unrelated fingerprints stays near 64 members, and so many that a pair at the threshold shares
+    one with probability ``recall``.
+    """
+    bits = max(12, math.ceil(math.log2(max(n, 2))) - 6)
+    same = (1 - math.acos(2 * threshold / (1 + threshold)) / math.pi) ** bits
+    return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
+
+
+def key_masks(bits: int, keys: int) -> list[tuple[int, int]]:
+    """Random sets of ``bits`` of the 128 bits, as masks of the two fingerprints."""
+    out = []
+    for k in range(keys):
+        chosen = random.Random(f"key {bits} {k}").sample(range(128), bits)
+        out.append((sum(1 << b for b in chosen if b < 64), sum(1 << (b - 64) for b in chosen if b >= 64)))
+    return out
+
+
+def close_members(unit: pa.Table, key: int, masks: np.ndarray, radius: int, refs: np.ndarray) -> np.ndarray:
+    """Rows of a unit that are within ``radius`` of the 128 bits of another, where no earlier key brings the pair together."""
+    one, two = (unit.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
+    side = unit.column("side").to_numpy()
+    table = np.stack([np.bitwise_count(one ^ r) + np.bitwise_count(two ^ ~r) for r in refs]).astype(np.int16)
+    order = np.argsort(table[0], kind="stable")
+    ends = np.searchsorted(table[0][order], table[0][order] + radius, side="right")
+    live = np.zeros(len(one), dtype=bool)
+    for lo in range(0, len(order), 256):
+        hi = min(lo + 256, len(order))
+        top = int(ends[hi - 1])
+        a, b = np.nonzero(np.arange(lo, top)[None, :] > np.arange(lo, hi)[:, None])
+        a, b = order[a + lo], order[b + lo]
+        for row in table:
+            near = np.abs(row[a] - row[b]) <= radius
+            a, b = a[near], b[near]
+        near = (np.bitwise_count(one[a] ^ one[b]).astype(np.int16) + np.bitwise_count(two[a] ^ two[b]) <= radius) & ((side[a] != side[b]) | (side[a] < 0))
+        a, b = a[near], b[near]
+        if len(a) and key:
+            x, y = one[a] ^ one[b], two[a] ^ two[b]
+            early = np.zeros(len(a), dtype=bool)
+            for m1, m2 in masks[:key]:
+                early |= ((x & m1) | (y & m2)) == 0
+            a, b = a[~early], b[~early]
+        live[a] = live[b] = True
+    return np.flatnonzero(live)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+
+
+def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, n_pivots: int = 4, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each distinct (id, text_hash): ``first``, the smallest (id, text_hash) of its component, and ``copies`` (its rows).
+
+    Texts are linked if the Jaccard similarity of their distinct ``size``-word shingles is ``threshold`` or more;
+    texts without words, null ones too, are equal to each other.
+    """
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digest, one, two = [], [], []
+            for t in batch.column(2):
+                parts = words(t.as_py())
+                cut = shingles(parts, size)
+                digest.append(xxhash.xxh3_128_digest(b" ".join(parts)))
+                one.append(fingerprint(cut, SEED))
+                two.append(fingerprint(cut, SEED + 1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digest, pa.binary()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]], names=["id", "text_hash", "digest", "fp", "fp2"])
+
+    rows = _texts(docs, id_col, text_col)
+    kind = rows.schema["id"].dataType.simpleString()
+    marked = keep(rows.mapInArrow(marks, f"id {kind}, text_hash long, digest binary, fp long, fp2 long"), "text-marks")
+    classes = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.min(F.struct("id", "text_hash")).alias("place"))
+    classes = keep(classes.withColumn("class", F.monotonically_increasing_id()), "text-classes")
+    bits, n_keys = key_plan(classes.count(), threshold, recall)
+    masks = key_masks(bits, n_keys)
+    # within this many of 128 bits lie all but one in a thousand of the pairs at the threshold
+    p = math.acos(2 * threshold / (1 + threshold)) / math.pi
+    radius = math.ceil(128 * p + 3.1 * math.sqrt(128 * p * (1 - p)))
+    at, refs = np.array(masks, dtype=np.uint64), np.array(pivots(n_pivots), dtype=np.uint64)
+    keys = [F.struct(F.lit(k).alias("key"), F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_long(a))), F.col("fp2").bitwiseAND(F.lit(_long(b)))).alias("bucket")) for k, (a, b) in enumerate(masks)]
+    keyed = classes.select(F.col("class").alias("id"), "fp", "fp2", F.explode(F.array(*keys)).alias("k")).select("id", "fp", "fp2", "k.*")
+
+    def work(unit: pa.Table) -> pa.RecordBatch | None:
+        live = close_members(unit, unit.column("key")[0].as_py(), at, radius, refs)
+        return unit.select(["unit", "bucket", "side", "id"]).take(pa.array(live)).combine_chunks().to_batches()[0] if len(live) else None
+
+    met = units(keyed, TILE).select("unit", "bucket", "side", "id", "fp", "fp2", "key").mapInArrow(each_unit(work), "unit long, bucket long, side byte, id long")
+    met = keep(met, "text-pairs")
+    spots = met.select("id").distinct().join(classes.select(F.col("class").alias("id"), "place.text_hash", F.xxhash64("place.id", "place.text_hash").alias("spot")), "id")
+    spots = keep(spots, "text-spots")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(spots.select("spot"), filter_mb))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            live = bloom.passing(batch.column(1).to_numpy().view(np.uint64), shared.value)
+            out = [b"".join(sorted({xxhash.xxh3_64_digest(s) for s in shingles(words(batch.column(2)[i].as_py()), size)})) for i in live.tolist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(live)), batch.column(1).take(pa.array(live)), pa.array(out, pa.binary())], names=["text_hash", "spot", "shingles"])
+
+    wanted = rows.select("text_hash", F.xxhash64("id", "text_hash").alias("spot"), "text").mapInArrow(sets, "text_hash long, spot long, shingles binary")
+    wanted = keep(wanted.join(spots, ["spot", "text_hash"]).dropDuplicates(["id"]).select("id", "shingles"), "text-sets")
+    parts = components(jaccard_edges(met.join(wanted, "id").repartition("unit", "bucket"), threshold))
+    named = classes.join(parts, classes["class"] == parts["node"], "left").select("digest", "place", F.coalesce("component", "class").alias("component"))
+    firsts = named.groupBy("component").agg(F.min("place").alias("first"))
+    named = keep(named.select("digest", "component").join(firsts, "component").select("digest", "first"), "text-components")
+    return marked.groupBy("id", "text_hash", "digest").agg(F.count("*").alias("copies")).join(named, "digest").select("id", "text_hash", "copies", "first")
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id (of those, the smallest text hash)."""
+    found = keep(text_components(docs, id_col=id_col, text_col=text_col, **options), "text-firsts")
+    stay = found.where(F.struct("id", "text_hash").eqNullSafe(F.col("first"))).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+    here = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("_hash"))
+    out = docs.join(stay, here)
+    if not found.where("copies > 1").isEmpty():  # rows equal in id and text
+        out = out.dropDuplicates(["_id", "_hash"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
