@@ -1,12 +1,56 @@
-"""Toxicity, near-duplicate, repeated-passage and benchmark filters, then packing, over ``documents``."""
+"""Toxicity, near-duplicate, repeated-passage and benchmark filters, then packing, over ``documents``.
+
+Every stage works on all rows its predecessor kept, and all but the last return the columns of
+``documents``. Odd input is dealt with as the operators' modules say; an empty table passes through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm import decontaminate, packing, paragraphs, registry, simhash, toxicity
 from millrace.llm.scratch import keep
 
-STAGES: list = []
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, learnt from ``labels`` on these documents, does not reject."""
+    labels = registry.table(spark, sf_dir, "labels")
+    chain = toxicity.learn(docs, labels)
+    names = [*toxicity.SEEDS, "toxic"]
+    return toxicity.score(docs, chain, names, keep_columns=True).where("not rejected").select(*docs.columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies (five-word shingles, Jaccard similarity of 0.8 or more)."""
+    return simhash.without_near_duplicates(docs, size=5, threshold=0.8)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents; a repeated passage stays in the first that has it. ``n_chars`` follows the text."""
+    return paragraphs.without_copies(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ``benchmark``. Texts are told apart by hash: equal ones share a verdict."""
+    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
+    found = decontaminate.contaminated(marked, registry.table(spark, sf_dir, "benchmark"), row_col="_text_hash")
+    leaks = keep(found.select("_text_hash").distinct(), "leaks")
+    return marked.join(leaks, "_text_hash", "left_anti").select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 1024 tokens."""
+    return packing.pack(docs, registry.tokenizer_path(), most=1024, end_id=2)
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("simhash_near_dedup", without_near_duplicates),
+    ("substring_dedup", without_repeated_passages),
+    ("benchmark_decontamination", without_benchmark),
+    ("best_fit_packing", packed),
+]
 
 #: Trained models, fingerprints and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
