@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.buckets import Forest
-from millrace.llm.components import components
-from millrace.llm.scratch import keep
+from millrace.plans.buckets import Forest
+from millrace.operators.components import components
+from millrace.plans.scratch import keep
 
 DEGREE, BUILD_BEAM, EXPAND = 16, 48, 4
 

@@ -30,9 +30,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import bloom
-from millrace.llm.buckets import Forest, each_unit, units
-from millrace.llm.components import components
-from millrace.llm.scratch import keep
+from millrace.plans.buckets import Forest, each_unit, units
+from millrace.operators.components import components
+from millrace.plans.scratch import keep
 
 TILE = 1024
 _C = np.uint64(0x9E3779B97F4A7C15)

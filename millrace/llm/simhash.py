@@ -35,10 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import bloom
-from millrace.llm.buckets import Forest, each_unit, units
-from millrace.llm.components import components
+from millrace.plans.buckets import Forest, each_unit, units
+from millrace.operators.components import components
 from millrace.llm.paragraphs import jaccard_edges
-from millrace.llm.scratch import keep
+from millrace.plans.scratch import keep
 
 SEED = 42
 #: Rows of a bucket that one unit of work holds at most (twice this for a pair of tiles).

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.scratch import place
+from millrace.plans.scratch import place
 
 #: Field names of record headers, by version (fixed values).
 ARC_FIELDS = {
