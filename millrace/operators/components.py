@@ -19,7 +19,7 @@ def _least(edges: DataFrame) -> DataFrame:
 
 def _mark(edges: DataFrame) -> tuple:
     """Number of edges and a digest of their set."""
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.shiftright(F.xxhash64("u", "v"), 12)).alias("h")).first()
+    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
     return row["n"], row["h"]
 
 

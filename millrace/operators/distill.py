@@ -29,7 +29,7 @@ class Options:
     threshold: float = 0.55
     rounds: int = 4
     step: float = 0.01
-    step_from: int = 2
+    step_from: int = 1
     most: float = 0.98
     cluster_size: int = 20
     strategy: str = "exact"

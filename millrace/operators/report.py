@@ -88,3 +88,37 @@ def report_html(row: DataFrame, title: str, sections: tuple[str, ...] = ()) -> s
     show = lambda v: "n/a" if v is None else f"{v:.4f}" if isinstance(v, float) else html.escape(str(v))
     lines = "".join(f"<tr><th>{html.escape(n)}</th><td>{show(values.get(n))}</td></tr>" for n in names)
     return f"<!doctype html><title>{html.escape(title)}</title><h1>{html.escape(title)}</h1><table>{lines}</table>"
+
+
+def accuracy_chart(row: DataFrame) -> DataFrame:
+    """(label, distance, accuracy) of the three corpora of a ``comparison`` row; unknown distances are left out."""
+    labels = {"chunk_distance": "chunks", "raw_distance": "blocks", "distilled_distance": "distilled"}
+    bars = F.array(*[F.struct(F.lit(label).alias("label"), F.col(c).alias("distance")) for c, label in labels.items()])
+    flat = row.select(F.explode(bars).alias("b")).select("b.*").where("distance IS NOT NULL")
+    return flat.withColumn("accuracy", F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - F.col("distance"))))
+
+
+def performance_chart(row: DataFrame) -> DataFrame:
+    """(label, value) of the improvement factors."""
+    names = ("vector_improvement", "word_improvement", "aggregate", "projected")
+    return row.select(F.explode(F.array(*[F.struct(F.lit(n).alias("label"), F.col(n).alias("value")) for n in names])).alias("b")).select("b.*")
+
+
+def token_chart(row: DataFrame) -> DataFrame:
+    """(label, tokens a year, cost) of a ``token_stats`` row."""
+    bars = [F.struct(F.lit(n).alias("label"), F.col(f"{n}_year").alias("tokens"), F.col(f"{n}_cost").alias("cost")) for n in ("chunk", "raw", "distilled")]
+    return row.select(F.explode(F.array(*bars)).alias("b")).select("b.*")
+
+
+def scatter(distances: DataFrame, points: int = 20) -> DataFrame:
+    """The first ``points`` queries with both distances and their ratio, for a chart."""
+    rows = distances.where(M.valid(F.col("chunk_distance"), F.col("distilled_distance"))).orderBy("query").limit(points)
+    return rows.select("query", "chunk_distance", "distilled_distance", M.improvement(F.col("chunk_distance"), F.col("distilled_distance")).alias("ratio"))
+
+
+def word_table(documents: DataFrame, raw: DataFrame, distilled: DataFrame, top: int = 10) -> DataFrame:
+    """(word, documents, raw, distilled, ratio): the documents' top words in all three lists, 0 where one lacks it."""
+    first = documents.orderBy(F.desc("n"), "word").limit(top).select("word", F.col("n").alias("documents"))
+    for name, other in (("raw", raw), ("distilled", distilled)):
+        first = first.join(other.select("word", F.col("n").alias(name)), "word", "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    return first.withColumn("ratio", F.try_divide(F.col("documents").cast("double"), F.col("distilled").cast("double")))

@@ -120,3 +120,39 @@ def retrieval_quality(hits: DataFrame, k: int) -> DataFrame:
     """recall_at_k, precision_at_k and mrr of (query, rank from 1, relevant, n_relevant)."""
     per = hits.where(F.col("rank") <= k).groupBy("query").agg(F.count_if("relevant").alias("got"), F.max("n_relevant").alias("all"), F.min(F.when(F.col("relevant"), F.col("rank"))).alias("first"))
     return per.agg(F.avg(F.try_divide("got", "all")).alias("recall_at_k"), F.avg(F.col("got") / k).alias("precision_at_k"), F.avg(F.coalesce(1 / F.col("first"), F.lit(0.0))).alias("mrr"))
+
+
+def multi_vector_search(df: DataFrame, vector: list[float], vector_cols: dict[str, float], k: int = 10, window: int = 50, constant: float = 60, id_col: str = "id") -> DataFrame:
+    """(id, score): ranked lists by each vector column, fused with the columns' weights."""
+    lists = [ranked(df, -distance(F.col(c), literal(vector)), id_col, window) for c in vector_cols]
+    return fuse(lists, constant, list(vector_cols.values())).orderBy(F.desc("score"), "id").limit(k)
+
+
+def semantic_chunks(sentences: DataFrame, threshold: float = 0.7, doc: str = "doc_id", position: str = "position", vector_col: str = "embedding") -> DataFrame:
+    """``sentences`` with ``chunk``: a new one begins where a sentence's similarity to the one before is below the threshold."""
+    w = Window.partitionBy(doc).orderBy(position)
+    before = F.lag(vector_col).over(w)
+    cut = sentences.withColumn("_cut", F.when(before.isNotNull() & (1 - distance(F.col(vector_col), before) < threshold), 1).otherwise(0))
+    return cut.withColumn("chunk", F.sum("_cut").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_cut")
+
+
+def visible_to(df: DataFrame, tenant: str, role: str, tenant_col: str = "org_id", tags_col: str = "tags") -> DataFrame:
+    """Rows of the tenant whose tags hold the role."""
+    return df.where((F.col(tenant_col) == tenant) & F.array_contains(tags_col, role))
+
+
+def governed(df: DataFrame, tag: str, sources: list[str], source_col: str = "source_document", tags_col: str = "tags") -> DataFrame:
+    return df.where(F.array_contains(tags_col, tag) & F.col(source_col).isin(sources))
+
+
+def search_knowledge(df: DataFrame, vector: list[float], k: int = 5, **filters) -> DataFrame:
+    """Nearest blocks with score and a short answer."""
+    from millrace.functions.text import truncated
+    from millrace.operators.similarity import conditions, vector_search
+
+    found = vector_search(df, vector, k, conditions(**filters))
+    return found.select("id", "name", truncated(F.col("trusted_answer")).alias("answer"), F.slice("tags", 1, 5).alias("tags"), similarity_of(F.col("distance")).alias("score"))
+
+
+def get_block_by_id(df: DataFrame, block_id: str) -> DataFrame:
+    return df.where(F.col("id") == block_id)

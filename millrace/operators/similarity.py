@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.vectors import cosine, distance, literal
+from millrace.functions.vectors import distance, literal
 from millrace.plans.buckets import each_unit, units
 
 BLOCK = 2048
@@ -184,5 +184,8 @@ def vector_search(df: DataFrame, query: list[float], k: int = 10, where: Column
     return rows.withColumn("distance", distance(F.col(vector_col), literal(query))).orderBy("distance", id_col).limit(k)
 
 
-def pair_cosine(a: Column, b: Column) -> Column:
-    return cosine(a, b)
+
+
+def pairs_from_matrix(matrix: DataFrame, threshold: float) -> DataFrame:
+    """Pairs i < j of a similarity table (i, j, sim) at the threshold."""
+    return matrix.where((F.col("i") < F.col("j")) & (F.col("sim") >= threshold)).select(F.col("i").alias("id_a"), F.col("j").alias("id_b"), "sim")

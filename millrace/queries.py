@@ -586,6 +586,68 @@ def retrieval_log_join(spark, sf_dir):
     return log.join(meta, log["user_id"] == meta["c_custkey"]).groupBy("event_type", F.col("c_mktsegment").alias("segment")).agg(F.count("*").alias("n"))
 
 
+# The rest of the inventory
+
+@query("WITH" + PAIRS_SQL + " SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs WHERE sim >= 0.4")
+def pairs_from_matrix(spark, sf_dir):
+    matrix = J.similar_pairs(table(spark, sf_dir, "embeddings"), T35, "vec_id").select(F.col("id_a").alias("i"), F.col("id_b").alias("j"), "sim")
+    return J.pairs_from_matrix(matrix, 0.4).withColumn("sim", r6(F.col("sim")))
+
+
+@query("WITH RECURSIVE" + COMPONENTS_SQL + ", n AS (SELECT cluster FROM clusters GROUP BY cluster HAVING count(*) > 1) SELECT id, cluster FROM clusters JOIN n USING (cluster)")
+def similar_clusters(spark, sf_dir):
+    return C.similar_clusters(table(spark, sf_dir, "embeddings"), T35, "vec_id")
+
+
+@query("""
+WITH s AS (SELECT label AS doc, vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(lag(embedding) OVER (PARTITION BY label ORDER BY vec_id) AS DOUBLE[])) AS sim FROM embeddings)
+SELECT vec_id, CAST(sum(CASE WHEN sim < 0.05 THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY vec_id) AS BIGINT) AS chunk FROM s""")
+def semantic_chunking(spark, sf_dir):
+    return S.semantic_chunks(table(spark, sf_dir, "embeddings"), 0.05, "label", "vec_id").select("vec_id", "chunk")
+
+
+@query(f"""
+WITH v AS (SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), {_PROBE}) AS a, list_cosine_similarity(CAST(list_reverse(embedding) AS DOUBLE[]), {_PROBE}) AS b FROM embeddings),
+l AS (SELECT vec_id, row_number() OVER (ORDER BY a DESC, vec_id) - 1 AS r, 1.0 AS w FROM v QUALIFY r < 50 UNION ALL SELECT vec_id, row_number() OVER (ORDER BY b DESC, vec_id) - 1 AS r, 2.0 FROM v QUALIFY r < 50)
+SELECT vec_id AS id, round(sum(w / (60 + r)), 6) AS score FROM l GROUP BY vec_id ORDER BY sum(w / (60 + r)) DESC, vec_id LIMIT 10""")
+def multi_vector_search(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").withColumn("turned", F.reverse("embedding"))
+    return S.multi_vector_search(v, _probe(), {"embedding": 1.0, "turned": 2.0}, 10, id_col="vec_id").withColumn("score", r6(F.col("score")))
+
+
+@query("SELECT doc_id AS id FROM documents WHERE source = 'src1' AND lang = 'en'")
+def row_level_policy(spark, sf_dir):
+    return S.visible_to(table(spark, sf_dir, "documents").withColumn("tags", F.array("lang")), "src1", "en", "source").select(F.col("doc_id").alias("id"))
+
+
+@query("SELECT doc_id AS id FROM documents WHERE lang = 'de' AND source IN ('src1', 'src2')")
+def tag_governance(spark, sf_dir):
+    return S.governed(table(spark, sf_dir, "documents").withColumn("tags", F.array("lang")), "de", ["src1", "src2"], "source").select(F.col("doc_id").alias("id"))
+
+
+@query("SELECT a.lang AS a, b.lang AS b, count(*) AS n FROM (SELECT DISTINCT source, lang FROM documents) a JOIN (SELECT DISTINCT source, lang FROM documents) b ON a.source = b.source AND a.lang < b.lang GROUP BY ALL")
+def tag_graph(spark, sf_dir):
+    return S.co_mentions(table(spark, sf_dir, "documents"), "source", "lang")
+
+
+@query("WITH" + QA_SQL + " SELECT 'ib_' || substr(sha256(name || critical_question || trusted_answer), 1, 16) AS id, name, critical_question AS question, trusted_answer AS answer, 'conv' || (conv_id % 50) AS document FROM qa")
+def export_wire_format(spark, sf_dir):
+    t = "blockifiedTextResult"
+    return store.wire(_answers(spark, sf_dir)).select(F.col("blockifyResultUUID").alias("id"), F.col(f"{t}.name"), F.col(f"{t}.criticalQuestion").alias("question"), F.col(f"{t}.trustedAnswer").alias("answer"), F.col("blockifyDocumentUUID").alias("document"))
+
+
+@query(rf"""
+WITH w AS (SELECT source, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS word FROM documents WHERE source IN ('src0', 'src1', 'src2')),
+f AS (SELECT source, word, count(*) AS n FROM w WHERE regexp_full_match(word, '[a-z]+') AND length(word) > 2 AND word NOT IN ({_STOP}) GROUP BY ALL),
+a AS (SELECT word, n AS documents FROM f WHERE source = 'src0' ORDER BY n DESC, word LIMIT 10)
+SELECT a.word, documents, coalesce(b.n, 0) AS raw, coalesce(c.n, 0) AS distilled, round(documents / nullif(c.n, 0), 6) AS ratio
+FROM a LEFT JOIN (SELECT * FROM f WHERE source = 'src1') b USING (word) LEFT JOIN (SELECT * FROM f WHERE source = 'src2') c USING (word)""")
+def word_frequency_table(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    counts = lambda s: docs.where(F.col("source") == s).select(F.explode(T.counted_words(F.col("text"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    return R.word_table(counts("src0"), counts("src1"), counts("src2")).withColumn("ratio", r6(F.col("ratio")))
+
+
 # Whole flow
 
 @query()
