@@ -76,7 +76,7 @@ def statistics(blocks: DataFrame, start: int) -> DataFrame:
 def normal(blocks: DataFrame) -> DataFrame:
     """``blocks`` with every column of the block schema; missing ones get their defaults."""
     given = set(blocks.columns)
-    default = {"type": F.lit("blockify"), "hidden": F.lit(False), "exported": F.lit(False)}
+    default = {"type": F.lit("original"), "hidden": F.lit(False), "exported": F.lit(False)}
     cols = []
     for part in BLOCK.split(", "):
         name, kind = part.split(" ", 1)

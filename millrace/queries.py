@@ -632,8 +632,8 @@ def tag_graph(spark, sf_dir):
 
 @query("WITH" + QA_SQL + " SELECT 'ib_' || substr(sha256(name || critical_question || trusted_answer), 1, 16) AS id, name, critical_question AS question, trusted_answer AS answer, 'conv' || (conv_id % 50) AS document FROM qa")
 def export_wire_format(spark, sf_dir):
-    t = "blockifiedTextResult"
-    return store.wire(_answers(spark, sf_dir)).select(F.col("blockifyResultUUID").alias("id"), F.col(f"{t}.name"), F.col(f"{t}.criticalQuestion").alias("question"), F.col(f"{t}.trustedAnswer").alias("answer"), F.col("blockifyDocumentUUID").alias("document"))
+    t = "textResult"
+    return store.wire(_answers(spark, sf_dir)).select(F.col("blockResultUUID").alias("id"), F.col(f"{t}.name"), F.col(f"{t}.criticalQuestion").alias("question"), F.col(f"{t}.trustedAnswer").alias("answer"), F.col("blockDocumentUUID").alias("document"))
 
 
 @query(rf"""

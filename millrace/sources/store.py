@@ -36,10 +36,11 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def wire(df: DataFrame) -> DataFrame:
-    """Nested form in which blocks travel."""
+def wire(df: DataFrame, prefix: str = "block", kind: str = "original") -> DataFrame:
+    """Nested form in which blocks travel; ``prefix`` begins the names that a service gives them."""
     text = F.struct("name", F.col("critical_question").alias("criticalQuestion"), F.col("trusted_answer").alias("trustedAnswer"))
-    return df.select(F.lit("blockify").alias("type"), F.col("id").alias("blockifyResultUUID"), text.alias("blockifiedTextResult"), F.lit(False).alias("hidden"), F.lit(False).alias("exported"), F.lit(False).alias("reviewed"), F.col("source_document").alias("blockifyDocumentUUID"))
+    flags = [F.lit(False).alias(c) for c in ("hidden", "exported", "reviewed")]
+    return df.select(F.lit(kind).alias("type"), F.col("id").alias(f"{prefix}ResultUUID"), text.alias("textResult"), *flags, F.col("source_document").alias(f"{prefix}DocumentUUID"))
 
 
 class Collection:

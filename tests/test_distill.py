@@ -106,7 +106,7 @@ def test_files(spark, tmp_path):
     assert block.first().name == "N"
     store.write_json(block.select("id", "name"), str(tmp_path / "out"))
     assert store.jsonl_blocks(spark, str(tmp_path / "out"), "id string, name string").first().name == "N"
-    assert store.wire(block).first().blockifiedTextResult.criticalQuestion == "Q"
+    assert store.wire(block).first().textResult.criticalQuestion == "Q"
 
 
 def test_stream_equals_batch(spark, sf_dir, tmp_path):
