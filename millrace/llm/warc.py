@@ -101,13 +101,21 @@ def _b32(data: bytes) -> str:
     return "sha256:" + base64.b32encode(hashlib.sha256(data).digest()).decode().rstrip("=")
 
 
+def timestamp(date: str) -> str:
+    """ISO form of an ARC date; what is missing is taken from the start of its period, an unreadable one is 1970."""
+    try:
+        when = datetime.strptime(date[:14] + "00000101000000"[len(date[:14]) :], "%Y%m%d%H%M%S").replace(tzinfo=UTC)
+    except ValueError:
+        when = datetime(1970, 1, 1, tzinfo=UTC)
+    return f"{when:%Y-%m-%dT%H:%M:%SZ}"
+
+
 def warc_record(key: int | None, url: str, date: str, mime: str, http: bytes, payload: bytes, refers_to: int | None) -> bytes:
     """One WARC/1.1 record with its two closing line ends; a revisit if ``refers_to`` is given."""
     digest = hashlib.sha256(payload).hexdigest()
     kind = "revisit" if refers_to is not None else "response" if http else "resource"
     block = http if refers_to is not None else http + payload
-    when = datetime.strptime(date[:14].ljust(14, "0"), "%Y%m%d%H%M%S").replace(tzinfo=UTC)
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(key, digest)}", f"WARC-Date: {when:%Y-%m-%dT%H:%M:%SZ}", f"WARC-Target-URI: {url}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(key, digest)}", f"WARC-Date: {timestamp(date)}", f"WARC-Target-URI: {url}"]
     lines += [f"WARC-Payload-Digest: sha256:{digest}", f"WARC-Block-Digest: {_b32(block)}", f"X-Payload-Length: {len(payload)}"]
     lines += [f"X-Key: {key}"] if key is not None else []
     if refers_to is not None:
