@@ -6,8 +6,10 @@ in bands tuned so that two paragraphs at the threshold share one with the
 wanted probability; classes that share a band meet, and their exact Jaccard
 similarity is computed. Connected components over classes name the copies.
 
-In a text, adjacent paragraphs that have copies form a passage; passages of
-``passage_words`` words or more are reported, so a common short line alone is not.
+In a text, adjacent paragraphs that have copies form a passage, with the short lines
+between them; passages of ``passage_words`` words or more are reported, so a common
+short line alone is not. (45: a passage of 50 words may begin and end with lines too
+short to be paragraphs.)
 The first occurrence of each paragraph (smallest id, then text hash, then place)
 is the one kept.
 
@@ -63,14 +65,15 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return _mix(h)
 
 
-def lines_of(text: str | None, least: int) -> list[tuple[int, int, list[str]]]:
-    """(line number, character offset, lower-cased words) of the lines with at least ``least`` words."""
-    out, start = [], 0
+def lines_of(text: str | None, least: int) -> list[tuple[int, int, int, list[str]]]:
+    """(line number, character offset, words of the lines before, lower-cased words) of the lines with at least ``least`` words."""
+    out, start, before = [], 0, 0
     for i, line in enumerate((text or "").split("\n")):
         words = line.lower().split()
         if len(words) >= least:
-            out.append((i, start, words))
+            out.append((i, start, before, words))
         start += len(line) + 1
+        before += len(words)
     return out
 
 
@@ -97,26 +100,27 @@ def _identity(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, size: int, bands: int, rows: int, least_words: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each paragraph: id, text_hash, line, ordinal (among the text's paragraphs), start, length, n_words, digest, bands."""
+    """One row for each paragraph: id, text_hash, line, ordinal (among the text's paragraphs), start, length, before (words of the lines before), n_words, digest, bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
                 part = batch.slice(lo, 200)
-                row, line, ordinal, start, length, count, digest, hashes = [], [], [], [], [], [], [], []
+                row, line, ordinal, start, length, before, count, digest, hashes = [], [], [], [], [], [], [], [], []
                 for i, t in enumerate(part.column(2)):
                     text = t.as_py()
                     found = lines_of(text, least_words)
-                    for k, (number, at, words) in enumerate(found):
+                    for k, (number, at, earlier, words) in enumerate(found):
                         row.append(i)
                         line.append(number)
                         ordinal.append(k)
                         start.append(at)
                         length.append((text.find("\n", at) + 1 or len(text) + 1) - 1 - at)
+                        before.append(earlier)
                         count.append(len(words))
                         digest.append(xxhash.xxh3_128_digest(" ".join(words)))
                     if found:
-                        hashes.append(word_hashes([w for _, _, words in found for w in words]))
+                        hashes.append(word_hashes([w for *_, words in found for w in words]))
                 if not row:
                     continue
                 words = np.concatenate(hashes)
@@ -129,15 +133,15 @@ def paragraphs(docs: DataFrame, size: int, bands: int, rows: int, least_words: i
                 kept = np.maximum(n - size + 1, 0)
                 first = np.cumsum(kept) - kept
                 values = band_values(first, shingled[inside], bands, rows)
-                cols = [part.column(0).take(pa.array(row, pa.int64())), part.column(1).take(pa.array(row, pa.int64())), *[pa.array(np.array(x, np.int32)) for x in (line, ordinal, start, length, count)]]
+                cols = [part.column(0).take(pa.array(row, pa.int64())), part.column(1).take(pa.array(row, pa.int64())), *[pa.array(np.array(x, np.int32)) for x in (line, ordinal, start, length, before, count)]]
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, bands, dtype=np.int32)), pa.array(values.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(digest, pa.binary()), lists], names=["id", "text_hash", "line", "ordinal", "start", "length", "n_words", "digest", "bands"])
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(digest, pa.binary()), lists], names=["id", "text_hash", "line", "ordinal", "start", "length", "before", "n_words", "digest", "bands"])
 
     if least_words < size:
         raise ValueError("a paragraph needs at least the words of one shingle")
     known = _identity(docs, id_col, text_col)
     kind = known.schema["id"].dataType.simpleString()
-    return known.mapInArrow(run, f"id {kind}, text_hash long, line int, ordinal int, start int, length int, n_words int, digest binary, bands array<long>")
+    return known.mapInArrow(run, f"id {kind}, text_hash long, line int, ordinal int, start int, length int, before int, n_words int, digest binary, bands array<long>")
 
 
 def _spot(id_: Column, text_hash: Column, line: Column) -> Column:
@@ -191,12 +195,12 @@ def jaccard_edges(tile_rows: DataFrame, threshold: float) -> DataFrame:
 
 def without_repeats(rows: DataFrame) -> DataFrame:
     """``rows`` (bucket, id) with one of each set of buckets that have the same members, and only buckets with two or more."""
-    signs = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.shiftright(F.xxhash64("id"), 20)).alias("s1"), F.sum(F.shiftright(F.xxhash64("id", F.lit(1)), 20)).alias("s2")).where("n > 1")
+    signs = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("s1"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("s2")).where("n > 1")
     one = signs.groupBy("n", "s1", "s2").agg(F.min("bucket").alias("bucket")).select("bucket")
     return rows.join(one, "bucket", "left_semi")
 
 
-def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, least_words: int = 5, passage_words: int = 50, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, least_words: int = 5, passage_words: int = 45, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Paragraphs of repeated passages.
 
     Columns: ``id_col``, text_hash, line, start and length (characters), n_words, component (any number, one
@@ -224,7 +228,7 @@ def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float
     text = Window.partitionBy("id", "text_hash").orderBy("ordinal")
     run = members.dropDuplicates(["id", "text_hash", "ordinal"]).withColumn("_run", F.col("ordinal") - F.row_number().over(text))
     passage = Window.partitionBy("id", "text_hash", "_run")
-    run = run.withColumn("_words", F.sum("n_words").over(passage)).where(F.col("_words") >= passage_words)
+    run = run.withColumn("_words", F.max(F.col("before") + F.col("n_words")).over(passage) - F.min("before").over(passage)).where(F.col("_words") >= passage_words)
     here = F.struct("id", "text_hash", "line")
     return run.select(F.col("id").alias(id_col), "text_hash", "line", "start", "length", "n_words", "component", "n_copies", here.eqNullSafe(F.col("first")).alias("kept"))
 

@@ -169,17 +169,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 # Near-duplicate texts: fingerprints only bring pairs together, exact similarity decides.
 
 
-def key_plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
-    """(bits of a key, number of keys) for n classes.
-
-    Two texts with Jaccard similarity J have shingle vectors at cosine 2J / (1 + J), so a
-    fingerprint bit differs with probability angle / pi. Keys are long enough that a
-    bucket of unrelated fingerprints stays near 64 members, and so many that a pair at the threshold shares
-    one with probability ``recall``.
+def shared_key_chance(bits: int, keys: int, p: float, radius: int) -> float:
+    """Chance that two fingerprints whose 128 bits each differ with probability p lie within the radius and agree on all bits of a key."""
+    total = 0.0
+    for d in range(radius + 1):
+        agree = math.comb(128 - d, bits) / math.comb(128, bits)
+        total += math.comb(128, d) * p**d * (1 - p) ** (128 - d) * (1 - (1 - agree) ** keys)
+    return total
+
+
+def key_plan(n: int, threshold: float, recall: float) -> tuple[int, int, int]:
+    """(bits of a key, number of keys, radius in 128 bits) for n classes.
+
+    Two texts with Jaccard similarity J have shingle vectors at cosine 2J / (1 + J), so a fingerprint
+    bit differs with probability angle / pi. The radius holds all but one in a thousand of the pairs at the
+    threshold. Keys grow with the logarithm of n, so that a bucket of unrelated fingerprints stays below 8192
+    members, and there are as many as give a pair at the threshold the wanted chance.
     """
-    bits = max(12, math.ceil(math.log2(max(n, 2))) - 6)
-    same = (1 - math.acos(2 * threshold / (1 + threshold)) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - recall) / math.log(1 - same))
+    p = math.acos(2 * threshold / (1 + threshold)) / math.pi
+    radius = min(128, math.ceil(128 * p + 3.1 * math.sqrt(128 * p * (1 - p))))
+    bits = max(10, math.ceil(math.log2(max(n, 2))) - 12)
+    keys = 1
+    while shared_key_chance(bits, keys, p, radius) < min(recall, 0.998) and keys < 4096:
+        keys += max(1, keys // 20)
+    return bits, keys, radius
 
 
 def key_masks(bits: int, keys: int) -> list[tuple[int, int]]:
@@ -224,7 +237,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
 
-def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, n_pivots: int = 4, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.995, n_pivots: int = 4, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each distinct (id, text_hash): ``first``, the smallest (id, text_hash) of its component, and ``copies`` (its rows).
 
     Texts are linked if the Jaccard similarity of their distinct ``size``-word shingles is ``threshold`` or more;
@@ -247,11 +260,8 @@ def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     marked = keep(rows.mapInArrow(marks, f"id {kind}, text_hash long, digest binary, fp long, fp2 long"), "text-marks")
     classes = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("fp2").alias("fp2"), F.min(F.struct("id", "text_hash")).alias("place"))
     classes = keep(classes.withColumn("class", F.monotonically_increasing_id()), "text-classes")
-    bits, n_keys = key_plan(classes.count(), threshold, recall)
+    bits, n_keys, radius = key_plan(classes.count(), threshold, recall)
     masks = key_masks(bits, n_keys)
-    # within this many of 128 bits lie all but one in a thousand of the pairs at the threshold
-    p = math.acos(2 * threshold / (1 + threshold)) / math.pi
-    radius = math.ceil(128 * p + 3.1 * math.sqrt(128 * p * (1 - p)))
     at, refs = np.array(masks, dtype=np.uint64), np.array(pivots(n_pivots), dtype=np.uint64)
     keys = [F.struct(F.lit(k).alias("key"), F.xxhash64(F.lit(k), F.col("fp").bitwiseAND(F.lit(_long(a))), F.col("fp2").bitwiseAND(F.lit(_long(b)))).alias("bucket")) for k, (a, b) in enumerate(masks)]
     keyed = classes.select(F.col("class").alias("id"), "fp", "fp2", F.explode(F.array(*keys)).alias("k")).select("id", "fp", "fp2", "k.*")
