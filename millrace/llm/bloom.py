@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FUNCTIONS = 4
+FUNCTIONS, PER_HASH = 6, 64
 
 
 def places(h: np.ndarray, bits: int, which: int) -> np.ndarray:
@@ -27,12 +27,12 @@ def passing(h: np.ndarray, held: np.ndarray) -> np.ndarray:
 
 
 def build(hashes: DataFrame, most_mb: float) -> np.ndarray:
-    """Filter of a one-column table of longs: 16 bits for each, ``most_mb`` megabytes at most.
+    """Filter of a one-column table of longs: ``PER_HASH`` bits for each, ``most_mb`` megabytes at most.
 
     Beyond that size it only lets more through: what it passes goes to an exact join.
     """
     name = hashes.columns[0]
-    bits = int(min(most_mb * 8e6, max(1 << 16, 16 * hashes.count()))) // 64 * 64
+    bits = int(min(most_mb * 8e6, max(1 << 16, PER_HASH * hashes.count()))) // 64 * 64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
