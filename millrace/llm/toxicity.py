@@ -50,7 +50,7 @@ def features(text: str | None, bits: int = 18, known: dict | None = None) -> np.
         own = known.get(w)
         if own is None:
             own = tuple(zlib.crc32(x.encode("utf-8", "replace")) & mask for x in (w, *(f"{w[:n]}*" for n in STEMS if len(w) > n)))
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
             known[w] = own
         found.update(own)
@@ -211,10 +211,12 @@ def score(docs: DataFrame, chain: Chain, names: list[str], id_col: str = "doc_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, known = shared.value, {}
         for batch in batches:
-            rows = Rows.of([features(t.as_py(), model.bits, known) for t in batch.column(batch.num_columns - 1)])
-            p = model.scores(rows) if model.links else np.zeros((batch.num_rows, len(names)))
-            bad = (p[:, -1] >= model.threshold) & (np.diff(rows.at) > 0) & bool(model.links)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(len(names))], pa.array(bad)], names=out)
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                rows = Rows.of([features(t.as_py(), model.bits, known) for t in part.column(part.num_columns - 1)])
+                p = model.scores(rows) if model.links else np.zeros((part.num_rows, len(names)))
+                bad = (p[:, -1] >= model.threshold) & (np.diff(rows.at) > 0) & bool(model.links)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(len(names))], pa.array(bad)], names=out)
 
     cols = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inputs)]
     rows = docs.select(*cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
