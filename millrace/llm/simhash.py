@@ -240,8 +240,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.995, n_pivots: int = 4, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each distinct (id, text_hash): ``first``, the smallest (id, text_hash) of its component, and ``copies`` (its rows).
 
-    Texts are linked if the Jaccard similarity of their distinct ``size``-word shingles is ``threshold`` or more;
-    texts without words, null ones too, are equal to each other.
+    Texts are linked if the Jaccard similarity of their distinct ``size``-word shingles is ``threshold`` or more,
+    however often a shingle repeats in either; texts without words, null ones too, are equal to each other.
     """
 
     def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,8 +251,9 @@ def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
                 parts = words(t.as_py())
                 cut = shingles(parts, size)
                 digest.append(xxhash.xxh3_128_digest(b" ".join(parts)))
-                one.append(fingerprint(cut, SEED))
-                two.append(fingerprint(cut, SEED + 1))
+                distinct = list(set(cut))  # each votes once, as in the similarity that decides
+                one.append(fingerprint(distinct, SEED))
+                two.append(fingerprint(distinct, SEED + 1))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digest, pa.binary()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]], names=["id", "text_hash", "digest", "fp", "fp2"])
 
     rows = _texts(docs, id_col, text_col)

@@ -96,6 +96,19 @@ def test_near_copies_of_a_text_collapse(spark):
     assert {r.doc_id for r in got.collect()} == {0, 99}
 
 
+def test_a_line_repeated_in_one_of_two_near_copies(spark):
+    rng = np.random.default_rng(6)
+    pick = lambda n: [f"v{x}" for x in rng.integers(0, 3000, n)]
+    rows = []
+    for i in range(20):
+        text, line = " ".join(pick(300)), " ".join(pick(12))
+        rows += [(2 * i, text), (2 * i + 1, text + f"\n{line}" * 20)]
+        a, b = shingle_set(rows[-2][1]), shingle_set(rows[-1][1])
+        assert len(a & b) >= 0.9 * len(a | b)
+    got = simhash.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == {2 * i for i in range(20)}
+
+
 def test_texts_odd_input(spark):
     got = sorted((str(r.doc_id) for r in simhash.without_near_duplicates(odd(spark)).collect()))
     assert got == ["1", "4", "7", "None"]  # a null id sorts first
