@@ -13,6 +13,14 @@ short to be paragraphs.)
 The first occurrence of each paragraph (smallest id, then text hash, then place)
 is the one kept.
 
+``passages`` finds what no whole line shows: runs of 45 equal words or more that stand
+in two places, wherever they begin and end. Every window of 45 words is known by the
+least hash of its 20-word runs, so windows that are equal share it. Adjacent windows with
+one such mark form a block; where a mark's blocks are all equal they are compared whole,
+else window by window. No equal run is lost (but for the
+chance that two 64-bit hashes collide, nothing else is reported). In one text, windows
+that overlap an earlier equal one do not count. ``without_copies`` takes out both.
+
 A text row is known by its id and the hash of its text: rows equal in both count
 as one text. Results for odd input: null and empty texts and short lines have no
 paragraphs. A null id sorts first. A paragraph that is repeated inside one text
@@ -23,13 +31,17 @@ empty table gives no rows.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from millrace.llm import bloom
 from millrace.plans.buckets import Forest, each_unit, units
@@ -37,6 +49,8 @@ from millrace.operators.components import components
 from millrace.plans.scratch import keep
 
 TILE = 1024
+#: Words of a run whose hash marks a window, and runs in a window: 45 words.
+RUN, RUNS = 20, 26
 _C = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -233,10 +247,154 @@ def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float
     return run.select(F.col("id").alias(id_col), "text_hash", "line", "start", "length", "n_words", "component", "n_copies", here.eqNullSafe(F.col("first")).alias("kept"))
 
 
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence's lines in the texts."""
-    gone = copied(docs, id_col=id_col, text_col=text_col, **options).where("not kept")
-    gone = gone.groupBy(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).agg(F.collect_set("line").alias("_lines"))
+def sliding_least(a: np.ndarray, n: int) -> np.ndarray:
+    """The least of every ``n`` adjacent values."""
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        a = np.minimum(a[:-step], a[step:])
+        done += step
+    return a
+
+
+def _apart(h: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
+    """Which windows (hashes and places in order) do not overlap an earlier counted one with the same hash."""
+    out = np.ones(len(h), dtype=bool)
+    if len(np.unique(h)) < len(h):
+        last: dict[int, int] = {}
+        for i, (x, p) in enumerate(zip(h.tolist(), at.tolist(), strict=True)):
+            if p - last.get(x, -least) < least:
+                out[i] = False
+            else:
+                last[x] = p
+    return out
+
+
+def _blocks(text: str | None) -> tuple[np.ndarray, ...] | None:
+    """Hash of every window of 45 words; then place, size, mark and hash of the blocks of windows with one mark."""
+    words = (text or "").lower().split()
+    if len(words) < RUN + RUNS - 1:
+        return None
+    runs = shingle_hashes(word_hashes(words), RUN)
+    n = len(runs) - RUNS + 1
+    window = _mix((runs[:n] * _C + runs[RUN : RUN + n]) * _C + runs[RUNS - 1 : RUNS - 1 + n])
+    mark = sliding_least(runs, RUNS)
+    at = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
+    size = np.diff(np.append(at, n))
+    return window, at, size, mark[at], _mix((window[at] * _C + window[at + size - 1]) * _C + size.astype(np.uint64))
+
+
+def windows(docs: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
+    """id, text_hash, place (number of the first word), size and kept of the ``size`` adjacent windows of 45 words that stand in two places or more."""
+    known = _identity(docs, id_col, text_col)
+    kind = known.schema["id"].dataType.simpleString()
+
+    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = np.iinfo(np.int64)
+        for batch in batches:
+            for t in batch.column(0):
+                if (found := _blocks(t.as_py())) is None:
+                    continue
+                _, _, size, mark, block = found
+                _, which, times = np.unique(mark, return_inverse=True, return_counts=True)
+                odd = (times[which] > 1) | (size > RUNS)  # the mark stands in several places of this text: window by window
+                low, high = (np.where(odd, end, block.view(np.int64)) for end in (ends.min, ends.max))
+                yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(-(-size // RUNS)), pa.array(low), pa.array(high)], names=["mark", "n", "low", "high"])
+
+    twice = known.select("text").mapInArrow(marks, "mark long, n long, low long, high long").groupBy("mark").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    twice = keep(twice.where("n > 1").select("mark", (F.col("low") != F.col("high")).alias("mixed")), "passage-marks")
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((bloom.build(twice.select("mark"), filter_mb / 2), bloom.build(twice.where("mixed").select("mark"), filter_mb / 2)))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        any_, mixed = shared.value
+        for batch in batches:
+            for i, t in enumerate(batch.column(2)):
+                if (found := _blocks(t.as_py())) is None:
+                    continue
+                window, at, size, mark, block = found
+                live = bloom.passing(mark, any_)
+                if not len(live):
+                    continue
+                single = np.zeros(len(mark), dtype=bool)
+                single[live[bloom.passing(mark[live], mixed)]] = True
+                whole = live[~single[live]]
+                each = np.flatnonzero(np.repeat(single, size))
+                each = each[_apart(window[each], each, RUN + RUNS - 1)]
+                cols = [np.concatenate(x) for x in ((at[whole], each), (size[whole], np.ones(len(each), np.int64)), (block[whole], window[each]))]
+                row = pa.array(np.full(len(cols[0]), i))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *[pa.array(c.astype(np.int32)) for c in cols[:2]], pa.array(cols[2].view(np.int64))], names=["id", "text_hash", "place", "size", "window"])
+
+    found = keep(known.mapInArrow(cut, f"id {kind}, text_hash long, place int, size int, window long"), "passage-windows")
+    place = F.struct("id", "text_hash", "place")
+    seen = found.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
+    return found.join(seen, "window").select("id", "text_hash", "place", "size", place.eqNullSafe(F.col("first")).alias("kept"))
+
+
+def stretches(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(first word, word after the last) of the stretches that windows (place, number of adjacent ones) cover."""
+    out: list[tuple[int, int]] = []
+    for p, n in sorted(places):
+        end = p + n + RUN + RUNS - 2
+        if out and p <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((p, end))
+    return out
+
+
+def passages(docs: DataFrame, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Stretches of 45 words or more made of windows that stand elsewhere too.
+
+    Columns: ``id_col``, text_hash, start and length (characters), first_word, n_words, and kept (the windows' first
+    occurrence). Stretches that are kept may overlap others that are not.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                spans = [m.span() for m in re.finditer(r"\S+", batch.column(2)[i].as_py())]
+                found = stretches([(x["place"], x["size"]) for x in batch.column(4)[i].as_py()])
+                row = pa.array([i] * len(found))
+                cols = [[spans[a][0] for a, _ in found], [spans[b - 1][1] - spans[a][0] for a, b in found], [a for a, _ in found], [b - a for a, b in found]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *[pa.array(c, pa.int32()) for c in cols], batch.column(3).take(row)], names=[id_col, "text_hash", "start", "length", "first_word", "n_words", "kept"])
+
+    found = windows(docs, filter_mb, id_col, text_col).groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "kept").agg(F.collect_set(F.struct("place", "size")).alias("places"))
+    texts = _identity(docs, id_col, text_col).join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
+    texts = texts.dropDuplicates(["id", "text_hash", "kept"]).select("id", "text_hash", "text", "kept", "places")
+    return texts.mapInArrow(run, f"`{id_col}` {texts.schema['id'].dataType.simpleString()}, text_hash long, start int, length int, first_word int, n_words int, kept boolean")
+
+
+def remaining(text: str, lines: set[int], places: list[tuple[int, int]]) -> str:
+    """``text`` without these lines and without the words under windows at these places; lines that lose all their words go."""
+    out, before = [], 0
+    gone = np.zeros(len(text.split()), dtype=bool)
+    for a, b in stretches(places):
+        gone[a:b] = True
+    for i, line in enumerate(text.split("\n")):
+        n = len(line.split())
+        cut = gone[before : before + n]
+        before += n
+        if i in lines or n and cut.all():
+            continue
+        if cut.any():
+            spans = [m.span() for m in re.finditer(r"\S+", line)]
+            edge = np.flatnonzero(np.diff(np.concatenate([[True], cut, [True]]).astype(np.int8))).tolist()
+            line = " ".join(line[spans[a][0] : spans[b - 1][1]] for a, b in zip(edge[::2], edge[1::2], strict=True))
+        out.append(line)
+    return "\n".join(out)
+
+
+@pandas_udf(StringType())
+def _remaining(text: pd.Series, lines: pd.Series, places: pd.Series) -> pd.Series:
+    return pd.Series([t if x is None or t is None else remaining(t, set(x.tolist()), [(y["place"], y["size"]) for y in p]) for t, x, p in zip(text, lines, places, strict=True)], dtype=object)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: float = 32, **options) -> DataFrame:
+    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence: its lines (``copied``) and its words (``passages``)."""
+    lines = copied(docs, id_col=id_col, text_col=text_col, filter_mb=filter_mb, **options).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "line", F.lit(None).cast("struct<place:int,size:int>").alias("place"))
+    words = windows(docs, filter_mb, id_col, text_col).where("not kept").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(None).cast("int").alias("line"), F.struct("place", "size").alias("place"))
+    gone = lines.unionByName(words).groupBy("_id", "_hash").agg(F.collect_set("line").alias("_lines"), F.collect_set("place").alias("_places"))
     here = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("_hash"))
-    left = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_lines", i)), "\n")
-    return docs.join(gone, here, "left").withColumn(text_col, F.when(F.col("_lines").isNull(), F.col(text_col)).otherwise(left)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    left = _remaining(F.col(f"`{text_col}`").cast("string"), F.col("_lines"), F.col("_places"))
+    return docs.join(gone, here, "left").withColumn(text_col, left).select(*[F.col(f"`{c}`") for c in docs.columns])

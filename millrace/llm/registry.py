@@ -60,6 +60,12 @@ def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraphs.copied(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+@query
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of 45 equal words or more that stands in two places, wherever it begins: doc_id, place, size, and whether it is the one kept."""
+    return paragraphs.passages(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 #: (host, path, verdict) of the contract's rules, and the hosts whose pages are listed (fixed values).
 URL_RULES = [
     url_filter.Rule("org", "/", "allow"),

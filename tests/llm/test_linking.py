@@ -164,6 +164,44 @@ def test_op6_odd_input(spark):
     assert paragraphs.copied(df.limit(0)).count() == 0
 
 
+def test_passages_that_no_whole_line_shows(spark):
+    rng = np.random.default_rng(8)
+    pick = lambda n: [f"q{x}" for x in rng.integers(0, 5000, n)]
+    join = " ".join
+    inside, short, across = pick(60), pick(60), pick(60)
+    lines = lambda w: "\n".join(join(w[i : i + 4]) for i in range(0, 60, 4))
+    rows = []
+    for i in range(3):
+        rows.append((i, join(pick(10) + inside + pick(10))))
+        rows.append((10 + i, f"{join(pick(30))}\n{lines(short)}\n{join(pick(30))}"))
+        rows.append((20 + i, f"{join(pick(20) + across[:25])}\n{join(across[25:] + pick(20))}"))
+    rows += [(30, "same " * 100), (31, join(inside[:44])), (None, join(pick(50))), (40, None), (41, "")]
+    df = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    found = {}
+    seen = collections.defaultdict(set)
+    for d, t in rows:
+        w = (t or "").split()
+        for p in range(len(w) - 44):
+            seen[tuple(w[p : p + 45])].add((d, p))
+    for d, t in rows:
+        w = (t or "").split()
+        if d != 30:
+            found[d] = {x for p in range(len(w) - 44) if len(seen[tuple(w[p : p + 45])]) > 1 for x in range(p, p + 45)}
+    got = collections.defaultdict(set)
+    for r in paragraphs.passages(df).collect():
+        text = dict(rows)[r.doc_id]
+        assert text[r.start : r.start + r.length].split() == text.split()[r.first_word : r.first_word + r.n_words]
+        assert r.kept == (r.doc_id in (0, 10, 20)) or r.doc_id == 30
+        got[r.doc_id] |= set(range(r.first_word, r.first_word + r.n_words))
+    assert got.pop(30) == set(range(90)) and got == {d: x for d, x in found.items() if x} and len(got) == 9
+    left = {r.doc_id: r.text for r in paragraphs.without_copies(df).collect()}
+    for first, step in ((0, inside), (10, short), (20, across)):
+        assert left[first] == dict(rows)[first]
+        for d in (first + 1, first + 2):
+            assert left[d].split() == [w for k, w in enumerate(dict(rows)[d].split()) if k not in found[d]] and len(left[d].split()) == len(dict(rows)[d].split()) - 60
+    assert left[31] == join(inside[:44]) and left[40] is None and left[41] == "" and paragraphs.passages(df.limit(0)).count() == 0
+
+
 def test_key_plan():
     bits, keys, radius = simhash.key_plan(200, 0.8, 0.995)
     assert bits == 10 and 30 < keys < 60 and 25 < radius < 40
