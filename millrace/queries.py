@@ -325,9 +325,9 @@ def leader_clusters(spark, sf_dir):
 
 @query()
 def two_pass_clusters(spark, sf_dir):
-    """Clusters of documents' first chunks: leaders in each source, then over the leaders."""
-    docs = table(spark, sf_dir, "documents").where("lang = 'es'")
-    return C.two_pass_clusters(docs.select(F.col("doc_id").alias("id"), F.col("source").alias("source_document"), F.get(T.chunks(F.col("text")), F.lit(0)).alias("trusted_answer")).where("trusted_answer IS NOT NULL"), 0.7)
+    """Clusters of all documents by their whole texts: leaders in each source, then over the leaders."""
+    docs = table(spark, sf_dir, "documents")
+    return C.two_pass_clusters(docs.select(F.col("doc_id").alias("id"), F.col("source").alias("source_document"), F.col("text").alias("trusted_answer")), 0.7)
 
 
 # Distillation
