@@ -154,3 +154,47 @@ def test_louvain_separates_two_dense_groups(spark):
     edges = [(a, b, 1.0) for g in (range(5), range(5, 10)) for a in g for b in g if a < b] + [(4, 5, 0.1)]
     got = {r.id: r.cluster for r in C.louvain(spark.range(12), spark.createDataFrame(edges, "id_a long, id_b long, sim double")).collect()}
     assert {got[x] for x in range(5)} == {0} and {got[x] for x in range(5, 10)} == {5} and got[11] == 11
+
+
+def test_close_texts_are_those_of_the_plain_ratio():
+    import random
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice(["the", "an", "er", "on", "qu", "z", "ti", "re", ", ", ". "]) for _ in range(3))
+    texts = [" ".join(word() for _ in range(rng.choice((3, 20, 40, 90)))) for _ in range(40)]
+    for i in range(0, 30, 3):
+        w = texts[i].split(" ")
+        for k in range(rng.randrange(1, 12)):
+            w[rng.randrange(len(w))] = word()
+        texts.append(" ".join(w))
+    texts += ["", "a", "b"]
+    texts = list(dict.fromkeys(texts))
+    for t in (0.3, 0.7, 0.9):
+        want = [(i, j) for j in range(len(texts)) for i in range(j) if C.sequence_ratio(texts[i], texts[j]) >= t]
+        assert sorted(C.close_texts(texts, [-1] * len(texts), t)) == sorted(want) and want
+        half = [k % 2 for k in range(len(texts))]
+        assert sorted(C.close_texts(texts, half, t)) == sorted(p for p in want if half[p[0]] != half[p[1]])
+
+
+def test_leader_clusters_are_those_of_the_plain_scan(spark, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(C, "TILE", 16)  # several tiles in a group
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(12)]
+    rows = []
+    for i in range(120):
+        t = list(rng.choice(base))
+        for _ in range(rng.randrange(0, 14)):
+            t[rng.randrange(40)] = rng.choice("abcdefgh ")
+        rows.append((i, rng.choice(["one", "two", None]), "".join(t) if i % 17 else rng.choice([None, "", base[0]])))
+    df = spark.createDataFrame(rows, "id long, source_document string, trusted_answer string")
+    want = {}
+    for s in ("one", "two", None):
+        own = [(i, t) for i, g, t in rows if g == s]
+        want |= {own[k][0]: own[x][0] for k, x in enumerate(C.lead([t for _, t in own], 0.7))}
+    assert {r.id: r.leader for r in C.leader_clusters(df, "source_document", 0.7).collect()} == want
+    reps = sorted(set(want.values()))
+    over = {reps[k]: reps[x] for k, x in enumerate(C.lead([rows[r][2] for r in reps], 0.7))}
+    assert {r.id: r.cluster for r in C.two_pass_clusters(df, 0.7).collect()} == {i: over[x] for i, x in want.items()}
+    assert C.two_pass_clusters(df.limit(0)).count() == 0
