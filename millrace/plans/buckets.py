@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.scratch import keep
+
 
 def units(rows: DataFrame, tile: int, deal: bool = True) -> DataFrame:
     """``rows`` (bucket, id, ...) with a unit key; if ``deal``, sorted so that a unit's rows are adjacent.
@@ -23,7 +25,7 @@ def units(rows: DataFrame, tile: int, deal: bool = True) -> DataFrame:
     ``id`` must be one row's own value in a bucket. Rows with a null bucket are dropped.
     """
     rows = rows.where(F.col("bucket").isNotNull())
-    sizes = rows.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1")
+    sizes = keep(rows.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1"), "sizes")  # a table of its own, so that the join can split a large bucket
     tiles = F.ceil(F.col("_n") / tile).cast("long")
     own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("_t"))
     others = F.sequence(F.lit(0).cast("long"), F.col("_t") - 1)

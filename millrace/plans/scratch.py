@@ -35,11 +35,11 @@ def place(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def keep(df: DataFrame, name: str) -> DataFrame:
+def keep(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder and return the written table."""
     spark = df.sparkSession
     path = place(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
