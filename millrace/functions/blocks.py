@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import short_hash, strip
@@ -103,9 +103,9 @@ def to_xml(name: Column, question: Column, answer: Column, tags: Column | None =
 
 
 def keep_first(df: DataFrame, key: str, *order: str) -> DataFrame:
-    """The first row of each key, by an order that is total."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key, by ascending columns that make a total order; found before rows are shuffled."""
+    first = F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*[F.col(f"`{c}`") for c in order]))
+    return df.groupBy(F.col(f"`{key}`").alias("_key")).agg(first.alias("_row")).select("_row.*")
 
 
 def validate(df: DataFrame) -> DataFrame:

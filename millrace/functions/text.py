@@ -77,11 +77,19 @@ def block_chars(name: Column, question: Column, answer: Column) -> Column:
     return char_count(name) + char_count(question) + char_count(answer)
 
 
+def all_words(text: Column) -> Column:
+    """Lower-case runs of letters, digits and underscores, in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+
+def counted(word: Column) -> Column:
+    """Whether a word counts: only a-z, more than two letters, no stop word."""
+    return (F.length(word) > 2) & word.rlike("^[a-z]+$") & ~word.isin(*STOP_WORDS)
+
+
 def counted_words(text: Column) -> Column:
-    """Lower-case words of a-z with more than two letters that aren't stop words, in order."""
-    parts = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return F.filter(parts, lambda w: w.rlike("^[a-z]+$") & (F.length(w) > 2) & ~F.array_contains(stop, w))
+    """The words of ``all_words`` that count."""
+    return F.filter(all_words(text), counted)
 
 
 def truncated(text: Column, most: int = 200) -> Column:

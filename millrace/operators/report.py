@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import metrics as M
-from millrace.functions.text import block_chars, char_count, chunks, counted_words, short_hash, tokens, word_count
+from millrace.functions.blocks import keep_first
+from millrace.functions.text import all_words, block_chars, char_count, chunks, counted, short_hash, tokens, word_count
 
 
 def chunk_documents(docs: DataFrame, size: int = 2000, overlap: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -21,8 +22,7 @@ def chunk_documents(docs: DataFrame, size: int = 2000, overlap: int = 200, id_co
 def unique_chunks(blocks: DataFrame, *order: str) -> DataFrame:
     """The first block of each source chunk; blank hashes and texts are left out."""
     rows = blocks.where((F.coalesce(F.trim("chunk_hash"), F.lit("")) != "") & (F.coalesce(F.trim("text"), F.lit("")) != ""))
-    w = Window.partitionBy("chunk_hash").orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return keep_first(rows, "chunk_hash", *order)
 
 
 def neighbours(chunked: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -33,7 +33,7 @@ def neighbours(chunked: DataFrame, id_col: str = "doc_id") -> DataFrame:
 
 def word_frequencies(docs: DataFrame, top: int = 30, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(word, n) of the ``top`` words, ties by first occurrence."""
-    rows = docs.select(F.col(id_col).alias("d"), F.posexplode(counted_words(F.col(text_col))).alias("p", "word"))
+    rows = docs.select(F.col(id_col).alias("d"), F.posexplode(all_words(F.col(text_col))).alias("p", "word")).where(counted(F.col("word")))
     return rows.groupBy("word").agg(F.count("*").alias("n"), F.min(F.struct("d", "p")).alias("_first")).orderBy(F.desc("n"), "_first").limit(top).select("word", "n")
 
 
