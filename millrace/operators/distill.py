@@ -34,6 +34,8 @@ class Options:
     cluster_size: int = 20
     strategy: str = "exact"
     on_progress: Callable[[str, float, dict], None] | None = None
+    #: Folder for the state after each round (``round-0`` ...), if wanted.
+    snapshots: str | None = None
 
     def __post_init__(self):
         if not 0 <= self.threshold <= 1 or not 1 <= self.rounds <= 10 or self.strategy not in ("exact", "lsh"):
@@ -85,40 +87,54 @@ def normal(blocks: DataFrame) -> DataFrame:
     return blocks.select(*cols)
 
 
+_MERGED = "cluster string, part long, ordinal long, failed boolean, name string, critical_question string, trusted_answer string, tags array<string>, keywords array<string>"
+
+
 def merge_clusters(members: DataFrame, merger: Merger, most: int = 20) -> DataFrame:
     """A merged block for each ``cluster`` of two or more; clusters of more than ``most`` are merged in parts first.
 
-    A merger that fails, or returns nothing, leaves its cluster unmerged: no row comes out.
+    Each part is a task's group, and what ``most`` adjacent parts give is merged in the next level, until a cluster has
+    one part or a level makes it no smaller. A merger that fails, or returns nothing, leaves its cluster unmerged: no row comes out.
     """
+    fields = ["name", "critical_question", "trusted_answer", "tags", "keywords"]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.sort_values("id").to_dict("records")
-        parts: dict[int, list[dict]] = {}
-        for r in rows:
-            parts.setdefault(int(r["part"]), []).append(r)
+        cluster, part = rows[0]["cluster"], int(rows[0]["part"])
         try:
-            level = [b for _, p in sorted(parts.items()) for b in (merger.merge(p) if len(p) > 1 else p)]
-            while len(parts) > 1 and len(level) > 1:
-                groups = [level[i : i + most] for i in range(0, len(level), most)]
-                after = [b for g in groups for b in (merger.merge([{"id": f"{i:08d}", **x} for i, x in enumerate(g)]) if len(g) > 1 else g)]
-                if len(after) >= len(level):
-                    break
-                level = after
+            blocks = merger.merge(rows) if len(rows) > 1 else rows
         except Exception:  # a failed merge keeps its members
-            level = []
-        known = [set(r["roots"]) if r["roots"] is not None and len(r["roots"]) else {r["id"]} for r in rows]
-        sources = sorted(r["source_document"] for r in rows if isinstance(r["source_document"], str))
-        out = [
-            {"name": b["name"], "critical_question": b["critical_question"], "trusted_answer": b["trusted_answer"], "tags": list(b["tags"]) if b.get("tags") is not None else [], "keywords": list(b["keywords"]) if b.get("keywords") is not None else [],
-             "source_document": sources[0] if sources else None, "parents": [r["id"] for r in rows], "roots": sorted(set().union(*known)), "cluster": rows[0]["cluster"]}
-            for b in level
-        ]
-        return pd.DataFrame(out, columns=["name", "critical_question", "trusted_answer", "tags", "keywords", "source_document", "parents", "roots", "cluster"])
-
-    schema = "name string, critical_question string, trusted_answer string, tags array<string>, keywords array<string>, source_document string, parents array<string>, roots array<string>, cluster string"
-    merged = members.groupBy("cluster").applyInPandas(run, schema)
+            blocks = []
+        listed = lambda b, k: list(b[k]) if b.get(k) is not None else []
+        out = [(cluster, part, i, False, *(b[k] for k in fields[:3]), listed(b, "tags"), listed(b, "keywords")) for i, b in enumerate(blocks)]
+        return pd.DataFrame(out or [(cluster, part, 0, True, None, None, None, [], [])], columns=["cluster", "part", "ordinal", "failed", *fields])
+
+    def merged(rows: DataFrame) -> DataFrame:
+        return keep(rows.groupBy("cluster", "part").applyInPandas(run, _MERGED), "merge-level")
+
+    members = members.withColumn("cluster", F.col("cluster").cast("string"))
+    level, done = merged(members.select("id", "cluster", F.col("part").cast("long").alias("part"), *fields)), []
+    while True:
+        sizes = level.groupBy("cluster").agg(F.count("*").alias("n"), F.max("part").alias("top"), F.max("failed").alias("bad"))
+        left = keep(sizes.where("top > 0 and n > 1 and not bad").select("cluster", "n"), "merge-left")
+        done.append(level.join(left, "cluster", "left_anti").join(sizes.where("not bad").select("cluster"), "cluster", "left_semi"))
+        if left.isEmpty():
+            break
+        before = level.join(left.select("cluster"), "cluster", "left_semi")
+        place = F.concat(F.lpad(F.col("part").cast("string"), 12, "0"), F.lpad(F.col("ordinal").cast("string"), 12, "0"))
+        after = merged(before.select(place.alias("id"), "cluster", F.expr(f"part div {most}").alias("part"), *fields))
+        counts = after.groupBy("cluster").agg(F.count("*").alias("m"), F.max("failed").alias("bad"))
+        stuck = keep(left.join(counts, "cluster").where("m >= n and not bad").select("cluster"), "merge-stuck")
+        done.append(before.join(stuck, "cluster", "left_semi"))
+        level = after.join(stuck, "cluster", "left_anti")
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    roots = F.when(F.size("roots") > 0, F.col("roots")).otherwise(F.array("id"))
+    lineage = members.groupBy("cluster").agg(F.min("source_document").alias("source_document"), F.sort_array(F.collect_list("id")).alias("parents"), F.sort_array(F.array_distinct(F.flatten(F.collect_list(roots)))).alias("roots"))
+    out = out.select("cluster", *fields).join(lineage, "cluster")
     key = block_id(F.col("name"), F.col("critical_question"), F.col("trusted_answer"), "merged_")
-    return merged.withColumn("id", F.concat(key, F.lit("_"), F.substring(F.sha2(F.array_join("parents", ","), 256), 1, 8))).withColumn("type", F.lit("merged")).withColumn("hidden", F.lit(False)).withColumn("exported", F.lit(False))
+    return out.withColumn("id", F.concat(key, F.lit("_"), F.substring(F.sha2(F.array_join("parents", ","), 256), 1, 8))).withColumn("type", F.lit("merged")).withColumn("hidden", F.lit(False)).withColumn("exported", F.lit(False))
 
 
 def distill(blocks: DataFrame, embedder: Embedder | None = None, merger: Merger | None = None, options: Options = Options()) -> Result:
@@ -126,12 +142,14 @@ def distill(blocks: DataFrame, embedder: Embedder | None = None, merger: Merger
 
     Hidden and exported blocks take no part. The threshold rises by ``step`` after each round from
     number ``step_from`` (counted from zero) on. It ends early when fewer than two blocks are left, no
-    pair is similar, or no cluster could be merged.
+    pair is similar, or no cluster could be merged. Progress is told by phase (embedding, similarity, clustering,
+    merging, round, done). A snapshot holds all blocks as they stand after a round, those merged away hidden.
     """
     embedder, merger = embedder or HashingEmbedder(), merger or CanonicalMerger()
     tell = options.on_progress or (lambda phase, share, details: None)
     text = embed_text(F.col("name"), F.col("critical_question"), F.col("trusted_answer"), F.col("id"))
     every = normal(blocks)
+    tell("embedding", 0.0, {})
     live = keep(every.where(~F.col("hidden") & ~F.col("exported")).withColumn("embedding", embedded(text, embedder)), "live")
     gone = [every.where(F.col("hidden") | F.col("exported"))]
     start, t, trace, total = live.count(), options.threshold, [], 0
@@ -139,12 +157,15 @@ def distill(blocks: DataFrame, embedder: Embedder | None = None, merger: Merger
     for k in range(options.rounds):
         if left < 2:
             break
+        tell("similarity", k / options.rounds, {"blocks": left, "threshold": round(t, 10)})
         find = similar_pairs if options.strategy == "exact" else similar_pairs_lsh
         pairs = keep(find(live, t), "pairs")
         if pairs.isEmpty():
             break
+        tell("clustering", k / options.rounds, {})
         clusters = split(clusters_of(live, pairs).join(pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).distinct(), "id"), options.cluster_size)
         members = live.join(clusters, "id")
+        tell("merging", k / options.rounds, {})
         merged = keep(merge_clusters(members, merger, options.cluster_size), "merged")
         added = merged.count()
         trace.append({"round": k, "threshold": round(t, 10), "blocks": left, "merged": added})
@@ -157,8 +178,14 @@ def distill(blocks: DataFrame, embedder: Embedder | None = None, merger: Merger
         live = keep(live.join(used, "id", "left_anti").unionByName(fresh), "live")
         left = live.count()
         total += added
+        if options.snapshots:
+            state = live.drop("embedding")
+            for g in gone:
+                state = state.unionByName(g)
+            state.write.mode("overwrite").parquet(f"{options.snapshots.rstrip('/')}/round-{k}")
         if k >= options.step_from:
             t = min(options.most, t + options.step)
+    tell("done", 1.0, {"blocks": left, "merged": total})
     blocks_out = live.drop("embedding")
     for g in gone:
         blocks_out = blocks_out.unionByName(g)

@@ -17,7 +17,7 @@ import urllib.request
 from collections import Counter
 from dataclasses import dataclass, field
 from typing import Protocol
-from xml.sax.saxutils import escape
+from xml.sax.saxutils import escape, unescape
 
 import pandas as pd
 from pyspark.sql import Column
@@ -80,6 +80,31 @@ class CanonicalMerger:
         return [{k: best[k] for k in ("name", "critical_question", "trusted_answer")} | union]
 
 
+@dataclass(frozen=True)
+class PlaceholderMerger:
+    """One block with empty fields for any blocks: a stand-in that shows what would be merged."""
+
+    def merge(self, blocks: list[dict]) -> list[dict]:
+        return [{"name": "", "critical_question": "", "trusted_answer": "", "tags": [], "keywords": []}] if blocks else []
+
+
+@dataclass(frozen=True)
+class RetryingMerger:
+    """Another merger, asked up to ``tries`` times; the wait doubles after each failure. The last error is raised."""
+
+    inner: Merger
+    tries: int = 3
+    wait: float = 2.0
+
+    def merge(self, blocks: list[dict]) -> list[dict]:
+        for attempt in range(self.tries - 1):
+            try:
+                return self.inner.merge(blocks)
+            except Exception:
+                time.sleep(self.wait * 2**attempt)
+        return self.inner.merge(blocks)
+
+
 @dataclass(frozen=True)
 class HttpClient:
     """POST of JSON with retries: the wait doubles after each failure."""
@@ -126,6 +151,27 @@ class HttpExtractor:
         return answer["choices"][0]["message"]["content"]
 
 
+@dataclass(frozen=True)
+class HttpMerger:
+    """A model that answers with blocks as XML or JSON."""
+
+    client: HttpClient
+    model: str
+
+    def merge(self, blocks: list[dict]) -> list[dict]:
+        names = ("name", "critical_question", "trusted_answer")
+        tag = lambda k, v: f"<{k}>{escape(v or '')}</{k}>"
+        asked = "".join("<ideablock>" + "".join(tag(k, b[k]) for k in names) + "</ideablock>" for b in blocks)
+        answer = self.client.post({"model": self.model, "messages": [{"role": "user", "content": asked}]})
+        out = []
+        for block in re.findall(r"(?is)<ideablock\b[^>]*>(.*?)</ideablock>", answer["choices"][0]["message"]["content"]):
+            found = {k: re.search(rf"(?is)<{k}\b[^>]*>(.*?)</{k}>", block) for k in (*names, "tags", "keywords")}
+            text = {k: unescape(m[1]).strip() if m else "" for k, m in found.items()}
+            if all(text[k] for k in names):
+                out.append({k: text[k] for k in names} | {k: [x.strip() for x in text[k].split(",") if x.strip()] for k in ("tags", "keywords")})
+        return out
+
+
 def embedded(text: Column, embedder: Embedder) -> Column:
     @pandas_udf("array<double>")
     def run(t: pd.Series) -> pd.Series:

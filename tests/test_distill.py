@@ -140,3 +140,98 @@ def test_settings(tmp_path):
     assert (s.queries, s.title, s.overlap) == (7, "T", 200) and "projected" not in s.shown() and "queries" in s.shown()
     with pytest.raises(ValueError, match="unknown"):
         settings(nothing=1)
+
+
+def test_jobs_outlive_a_session(spark, tmp_path):
+    from millrace.sources.jobs import Jobs
+
+    folder = f"{tmp_path}/jobs"
+    first = Jobs(spark, 2, folder)
+    good = first.submit(lambda note: note("half", 0.5, {}) or "place")
+    assert first.wait(good, 60)["status"] == "success"
+    slow = first.submit(lambda note: __import__("time").sleep(3))
+    assert first.wait(slow, 0.01)["status"] == "timeout" and first.wait(slow, 60)["status"] == "success"
+    first.rows["lost"] = {**first.status(good), "job_id": "lost", "status": "running", "completed_at": None}
+    first._save("lost")
+    again = Jobs(spark, 2, folder)
+    assert again.status(good) == first.status(good) and again.status("lost")["status"] == "failure"
+    assert again.expire(3600) == 0 and again.expire(-1) == 3
+    assert not Jobs(spark, 2, folder).rows
+
+
+def test_large_clusters_are_merged_in_levels(spark):
+    from millrace.operators.clusters import split
+    from millrace.plans.models import CanonicalMerger, PlaceholderMerger, RetryingMerger
+
+    class Failing:
+        def merge(self, blocks):
+            if any(b["name"] == "bad" for b in blocks):
+                raise ValueError
+            return CanonicalMerger().merge(blocks)
+
+    rows = [(f"b{i:04d}", "bad" if i == 900 else f"n{i}", f"q{i}", "a" * (i * 7919 % 101), [f"t{i % 3}"], [f"k{i}"], f"s{i % 5}", "big" if i < 850 else "mid" if i < 880 else "failing" if i < 940 else "one") for i in range(941)]
+    df = spark.createDataFrame(rows, "id string, name string, critical_question string, trusted_answer string, tags array<string>, keywords array<string>, source_document string, cluster string")
+    blocks = D.normal(df)
+    parts = split(df.select("id", "cluster"), 20)
+    members = blocks.join(parts.where("cluster <> 'one'"), "id")
+    got = {r.cluster: r for r in D.merge_clusters(members, Failing()).collect()}
+    assert got.keys() == {"big", "mid"}
+    for name, r in got.items():
+        own = [x for x in rows if x[7] == name]
+        best = min(own, key=lambda x: (-len(x[3]), x[0]))
+        assert r.parents == [x[0] for x in own] == r.roots and r.source_document == "s0"
+        assert (len(r.trusted_answer), r.tags, r.keywords) == (len(best[3]), ["t0", "t1", "t2"], sorted({x[5][0] for x in own}))
+    empty = {r.cluster: r.name for r in D.merge_clusters(members, PlaceholderMerger()).collect()}
+    assert empty == {"big": "", "mid": "", "failing": ""}
+
+    class Flaky:
+        calls = 0
+
+        def merge(self, blocks):
+            self.calls += 1
+            if self.calls < 3:
+                raise ValueError
+            return ["done"]
+
+    assert RetryingMerger(Flaky(), 3, 0.0).merge([]) == ["done"]
+    with pytest.raises(ValueError):
+        RetryingMerger(Flaky(), 2, 0.0).merge([])
+
+
+def test_snapshots_and_phases(spark, tmp_path):
+    told = []
+    rows = [(f"b{i}", f"name {'abcde'[i % 5] * 3}", "what is it?", "same words here", None) for i in range(10)]
+    df = spark.createDataFrame(rows, "id string, name string, critical_question string, trusted_answer string, source_document string")
+    result = D.distill(df, options=D.Options(threshold=0.7, rounds=2, on_progress=lambda *a: told.append(a[0]), snapshots=str(tmp_path)))
+    assert told[0] == "embedding" and told[-1] == "done" and {"similarity", "clustering", "merging", "round"} <= set(told)
+    state = spark.read.parquet(f"{tmp_path}/round-0")
+    assert state.count() == 10 + result.trace[0]["merged"] and state.where("not hidden").count() < 10
+
+
+def test_http_merger():
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    from millrace.plans.models import HttpClient, HttpMerger
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            asked.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            block = "<ideablock><name>N &amp; M</name><critical_question>Q</critical_question><trusted_answer>A</trusted_answer><tags>X, Y</tags></ideablock>"
+            data = json.dumps({"choices": [{"message": {"content": f"Here: {block}<ideablock><name>x</name></ideablock>"}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(data)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    got = HttpMerger(HttpClient(f"http://127.0.0.1:{server.server_port}"), "m").merge([{"name": "a<b", "critical_question": "q", "trusted_answer": None}])
+    server.shutdown()
+    assert got == [{"name": "N & M", "critical_question": "Q", "trusted_answer": "A", "tags": ["X", "Y"], "keywords": []}]
+    assert asked[0]["model"] == "m" and "<name>a&lt;b</name>" in asked[0]["messages"][0]["content"]
