@@ -7,6 +7,7 @@ Vectors that are null or zero, or hold a null, are similar to nothing (similarit
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -124,7 +125,21 @@ def similar_pairs_knn(df: DataFrame, threshold: float, k: int = 50, id_col: str
 
 
 def planes(tables: int, bits: int, width: int, seed: int = 42) -> np.ndarray:
-    return np.random.default_rng(seed).normal(size=(tables, bits, width))
+    """Normals [table, bit] of the hashing planes, to three decimals so that they can be written down."""
+    return np.random.default_rng(seed).normal(size=(tables, bits, width)).round(3)
+
+
+def lsh_plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
+    """(tables, bits) that make a pair at the threshold share a hash with probability ``recall``, for n rows.
+
+    A plane parts two vectors with probability angle / pi. There are bits enough that a bucket of unrelated rows has
+    some 512 members, four at least, and as many tables as the recall then asks for.
+    """
+    if not 0 < recall < 1:
+        raise ValueError("the recall has to lie between 0 and 1")
+    bits = max(4, math.ceil(math.log2(max(n, 1) / 512)) if n else 0)
+    shared = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return (1 if shared >= recall else math.ceil(math.log(1 - recall) / math.log1p(-shared))) if shared > 0 else 1, bits
 
 
 def sign_hashes(v: np.ndarray, normals: np.ndarray) -> np.ndarray:
@@ -133,11 +148,18 @@ def sign_hashes(v: np.ndarray, normals: np.ndarray) -> np.ndarray:
     return (above << np.arange(normals.shape[1])).sum(axis=2)
 
 
-def similar_pairs_lsh(df: DataFrame, threshold: float, tables: int = 10, bits: int = 8, seed: int = 42, least: int = 50, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
-    """Pairs that share a sign hash in some table and have cosine of ``threshold`` or more; below ``least`` rows all pairs are compared."""
+def similar_pairs_lsh(df: DataFrame, threshold: float, recall: float = 0.95, tables: int | None = None, bits: int | None = None, seed: int = 42, least: int = 0, id_col: str = "id", vector_col: str = "embedding") -> DataFrame:
+    """Pairs that share a sign hash in some table and have cosine of ``threshold`` or more.
+
+    ``tables`` and ``bits`` follow from the wanted recall of pairs at the threshold, unless both are given (10 and 8 are
+    usual; they find 0.18 of the pairs at 0.35, 0.39 at 0.55 and 0.97 at 0.9). A caller who wants all pairs compared below some number
+    of rows gives it as ``least``.
+    """
     rows = _rows(df, id_col, vector_col)
-    if len(rows.limit(least).collect()) < least:
+    if least and len(rows.limit(least).collect()) < least:
         return similar_pairs(df, threshold, id_col, vector_col)
+    if tables is None or bits is None:
+        tables, bits = lsh_plan(rows.count(), threshold, recall)
     kind = rows.schema["id"].dataType.simpleString()
 
     def hashed(batches):

@@ -46,7 +46,20 @@ def test_lsh_is_part_of_exact_and_finds_near_ones(spark):
     exact = brute(rows, 0.95)
     got = [(r.id_a, r.id_b) for r in J.similar_pairs_lsh(frame(spark, rows), 0.95).collect()]
     assert set(got) <= exact and {(0, 1), (2, 3)} <= set(got) and len(got) == len(set(got))
-    assert {(r.id_a, r.id_b) for r in J.similar_pairs_lsh(frame(spark, rows[:10]), 0.2).collect()} == brute(rows[:10], 0.2)
+    assert {(r.id_a, r.id_b) for r in J.similar_pairs_lsh(frame(spark, rows[:10]), 0.2, least=50).collect()} == brute(rows[:10], 0.2)
+
+
+@pytest.mark.parametrize("threshold", [0.35, 0.6])
+def test_lsh_reaches_the_wanted_recall(spark, threshold):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 24))
+    other = base + rng.normal(size=base.shape) * rng.uniform(0.2, 2.5, (300, 1))
+    rows = list(enumerate(np.concatenate([base, other]).tolist()))
+    exact = brute(rows, threshold)
+    got = {(r.id_a, r.id_b) for r in J.similar_pairs_lsh(frame(spark, rows), threshold).collect()}
+    assert got <= exact and len(got) >= 0.9 * len(exact) > 100
+    tables, bits = J.lsh_plan(100_000, 0.35, 0.95)
+    assert bits == 8 and 1 - (1 - (1 - np.arccos(0.35) / np.pi) ** 8) ** tables >= 0.95
 
 
 def test_knn(spark):
