@@ -14,9 +14,15 @@ survivor leave the scan, as word hashes.
 
 A pair is reported where an overlap has at least ``least_words`` agreeing words
 (all of the item's if it has fewer) with at least ``agree`` of its words equal.
-Items with fewer words than a mask spans are matched whole: under one hash of
+Each item is hashed under all masks that fit it; items of fewer than ``SHORT_BELOW``
+words also under a shorter mask with four words, as three substitutions can leave
+them no hit otherwise. Items that no mask fits are matched whole: under one hash of
 all their words.
 
+The words of an item stand once in a table of items and those of a text once in a
+table of hits; an alignment carries the text's words under the item, never more than
+the item has.
+
 Results for odd input: null or empty texts, and items without words, match
 nothing. Rows without an id are matched and reported with a null id. Repeated
 rows are reported once for each. Equal items are each reported. Other columns
@@ -39,6 +45,8 @@ from millrace.plans.scratch import keep
 
 #: Spaced seeds: 1 counts, 0 is ignored (fixed values). Seven words of spans of ten to thirteen.
 MASKS = ("1101101011", "11100101101", "110100011011", "1100110010101")
+#: For items of fewer words than SHORT_BELOW (fixed values).
+SHORT_MASK, SHORT_BELOW = "1101001", 30
 _WORD = re.compile(r"\w+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -71,29 +79,40 @@ def whole_hash(words: np.ndarray) -> int:
     return int(seed_hashes(words, "1" * len(words), 100 + len(words))[0])
 
 
-def item_seeds(items: DataFrame, id_col: str, text_col: str, masks: tuple[str, ...]) -> DataFrame:
-    """item_row, item, seed, at and words (binary) of every window of every item; short items once, with their length."""
-    span = max(map(len, masks))
+def item_words(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """item_row, item, n and words (binary) of every item that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            item, seed, at, short, words = [], [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 w = word_hashes(t.as_py())
-                if not len(w):
-                    continue
-                own = [(h, np.arange(len(h)), 0) for h in (seed_hashes(w, m, k) for k, m in enumerate(masks))] if len(w) >= span else [(np.array([whole_hash(w)], np.uint64), np.zeros(1), len(w))]
-                for h, places, n in own:
-                    item += [i] * len(h)
-                    seed += h.view(np.int64).tolist()
-                    at += places.tolist()
-                    short += [n] * len(h)
-                    words += [w.tobytes()] * len(h)
-            which = pa.array(item, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(2).take(which), batch.column(0).take(which), pa.array(seed, pa.int64()), pa.array(np.array(at, np.int32)), pa.array(np.array(short, np.int32)), pa.array(words, pa.binary())], names=["item_row", "item", "seed", "at", "short", "words"])
+                if len(w):
+                    yield pa.RecordBatch.from_arrays([batch.column(2).slice(i, 1), batch.column(0).slice(i, 1), pa.array([len(w)], pa.int32()), pa.array([w.tobytes()], pa.binary())], names=["item_row", "item", "n", "words"])
 
     rows = items.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"), F.monotonically_increasing_id().alias("item_row"))
-    return rows.mapInArrow(run, f"item_row long, item {rows.schema['item'].dataType.simpleString()}, seed long, at int, short int, words binary")
+    return rows.mapInArrow(run, f"item_row long, item {rows.schema['item'].dataType.simpleString()}, n int, words binary")
+
+
+def own_masks(n: int, masks: tuple[str, ...]) -> list[tuple[str, int]]:
+    """(mask, its number) of those that an item of ``n`` words is hashed under."""
+    fit = [(m, k) for k, m in enumerate(masks) if len(m) <= n]
+    if len(SHORT_MASK) <= n < SHORT_BELOW:
+        fit.append((SHORT_MASK, len(masks)))
+    return fit or [("1" * n, 100 + n)]
+
+
+def item_seeds(words: DataFrame, masks: tuple[str, ...]) -> DataFrame:
+    """item_row, seed, at and mask (its number) of every window of every item."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                w = np.frombuffer(t.as_buffer(), np.uint64)
+                for mask, k in own_masks(len(w), masks):
+                    h = seed_hashes(w, mask, k)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), row)), pa.array(h.view(np.int64)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(np.full(len(h), k, np.int32))], names=["item_row", "seed", "at", "mask"])
+
+    return words.select("item_row", "words").mapInArrow(run, "item_row long, seed long, at int, mask int")
 
 
 def overlap(text: np.ndarray, item: np.ndarray, shift: int, agree: float) -> tuple[int, int, int]:
@@ -121,18 +140,19 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
     each), ``n_words`` and ``n_equal`` (words of the overlap, and those that agree). With ``row_col``
     the pairs carry that column in place of ``id_col``.
     """
-    seeds = keep(item_seeds(items, item_col, item_text_col, masks), "item-seeds")
-    lengths = [r[0] for r in seeds.where("short > 0").select("short").distinct().collect()]  # below the masks' span
-    shared = docs.sparkSession.sparkContext.broadcast((bloom.build(seeds.select("seed"), filter_mb), sorted(lengths)))
+    items = keep(item_words(items, item_col, item_text_col), "items")
+    seeds = keep(item_seeds(items, masks), "item-seeds")
+    used = {r[0] for r in seeds.select("mask").distinct().collect()}  # the masks, and lengths below the shortest
+    known = [*enumerate(masks), (len(masks), SHORT_MASK), *((100 + n, "1" * n) for n in range(1, max(map(len, masks))))]
+    shared = docs.sparkSession.sparkContext.broadcast((bloom.build(seeds.select("seed"), filter_mb), [(m, k) for k, m in known if k in used]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, short = shared.value
+        held, runs = shared.value
         for batch in batches:
             row, seed, at, words = [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 w = word_hashes(t.as_py())
                 own_seed, own_at = [], []
-                runs = [(m, k) for k, m in enumerate(masks)] + [("1" * n, 100 + n) for n in short]
                 for mask, k in runs:
                     h = seed_hashes(w, mask, k)
                     live = bloom.passing(h, held)
@@ -153,17 +173,29 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
     each = hits.select("row", F.explode(F.arrays_zip("seeds", "ats")).alias("s")).select("row", F.col("s.seeds").alias("seed"), F.col("s.ats").alias("text_pos"))
     test = seeds.select("seed", "item_row", "at")
     aligned = each.join(test, "seed").select("row", "item_row", (F.col("text_pos") - F.col("at")).alias("shift")).distinct()
-    item_words = seeds.groupBy("item_row").agg(F.first("item").alias("item"), F.first("words").alias("item_words"))
-    pairs = aligned.join(item_words, "item_row").join(hits.select("row", "id", F.col("words").alias("text_words")), "row")
+    aligned = aligned.join(items.select("item_row", "n"), "item_row").groupBy("row").agg(F.collect_list(F.struct("item_row", "shift", "n")).alias("places"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, places in enumerate(batch.column("places")):
+                text, found = np.frombuffer(batch.column("words")[i].as_buffer(), np.uint64), places.as_py()
+                for lo in range(0, len(found), 1000):
+                    part = found[lo : lo + 1000]
+                    under = [text[max(0, p["shift"]) : max(0, p["shift"] + p["n"])].tobytes() for p in part]
+                    which = pa.array([i] * len(part))
+                    yield pa.RecordBatch.from_arrays([batch.column("row").take(which), batch.column("id").take(which), pa.array([p["item_row"] for p in part], pa.int64()), pa.array([p["shift"] for p in part], pa.int32()), pa.array(under, pa.binary())], names=["row", "id", "item_row", "shift", "under"])
+
+    laid = aligned.join(hits.select("row", "id", "words"), "row").mapInArrow(cut, f"row long, id {kind}, item_row long, shift int, under binary")
+    pairs = laid.join(items.select("item_row", "item", F.col("words").alias("item_words")), "item_row")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep_at, out = [], []
             for i in range(batch.num_rows):
-                item = np.frombuffer(batch.column("item_words")[i].as_py(), np.uint64)
-                text = np.frombuffer(batch.column("text_words")[i].as_buffer(), np.uint64)
+                item = np.frombuffer(batch.column("item_words")[i].as_buffer(), np.uint64)
+                under = np.frombuffer(batch.column("under")[i].as_buffer(), np.uint64)
                 shift = batch.column("shift")[i].as_py()
-                first, n, good = overlap(text, item, shift, agree)
+                first, n, good = overlap(under, item, min(0, shift), agree)
                 if good and good >= min(least_words, len(item)):
                     keep_at.append(i)
                     out.append((first + shift, first, n, good))
@@ -171,8 +203,20 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
             which = pa.array(keep_at, pa.int64())
             yield pa.RecordBatch.from_arrays([*[batch.column(c).take(which) for c in ("row", "item_row", "id", "item")], *[pa.array(np.ascontiguousarray(got[:, k])) for k in range(4)]], names=["row", "item_row", "id", "item", "text_at", "item_at", "n_words", "n_equal"])
 
-    item_kind = seeds.schema["item"].dataType.simpleString()
-    pairs = pairs.select("row", "item_row", "id", "item", "shift", "item_words", "text_words")
+    item_kind = items.schema["item"].dataType.simpleString()
+    pairs = pairs.select("row", "item_row", "id", "item", "shift", "item_words", "under")
     found = pairs.mapInArrow(verify, f"row long, item_row long, id {kind}, item {item_kind}, text_at int, item_at int, n_words int, n_equal int")
     best = found.groupBy("row", "item_row").agg(F.min_by(F.struct("id", "item", "text_at", "item_at", "n_words", "n_equal"), F.struct(-F.col("n_equal"), "n_words", "text_at")).alias("b"))
     return best.select(F.col("b.id").alias(row_col or id_col), F.col("b.item").alias(item_col), "b.text_at", "b.item_at", "b.n_words", "b.n_equal")
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text overlaps with no item, with all their columns, whatever their names.
+
+    Texts are told apart by a hash of 128 bits, so equal ones share a verdict; a null text overlaps with nothing.
+    """
+    text = F.col(f"row.`{text_col}`").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).withColumn("text", text).withColumn("text_hash", F.md5(text.cast("binary")))
+    found = contaminated(rows.select("text", "text_hash"), items, id_col="text_hash", text_col="text", row_col="text_hash", **options)
+    leaks = keep(found.select("text_hash").distinct(), "leaks")
+    return rows.join(leaks, "text_hash", "left_anti").select("row.*")
