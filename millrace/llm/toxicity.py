@@ -7,14 +7,16 @@ out-of-fold predictions (each from a model that has not seen the row), so a late
 link learns how far to trust an earlier one on new rows; the links kept are then
 fitted on all rows of the sample.
 
-Categories without labels of their own are named by seed word beginnings: a
-labelled text that holds one of a category's seeds is an example of it. The last
-link is trained on the given label itself, for which no seed is needed.
+The order is from what comes before toxicity to toxicity itself: ``low_quality``
+(the label quality is 0), kinds of toxicity, and ``toxic``. The kinds have no labels
+of their own and no word list names them: rows labelled toxic are parted by k-means
+on the features that tell them best from the others, and each part is a kind.
 
 Results for odd input: a null text counts as empty; a text without letters has
 the probabilities of an empty feature row and is never toxic. Labels that are
-null, or of documents without text, are not learnt from. Repeated labels of a
-document count once (the largest). Without both kinds of label in the sample no
+null, or of documents without text, are not learnt from; a quality that is null or
+lacking counts as good. Repeated labels of a document count once (toxic if one is,
+of low quality if one is), of texts that share an id the one that sorts first. Without both kinds of label in the sample no
 link is trained and every probability is zero. Rows that share an id, or have
 none, are each scored. An empty table gives no rows.
 """
@@ -31,11 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Beginnings of words that make a labelled text an example of a category (fixed values).
-SEEDS = {
-    "insult": ("idiot", "moron", "stupid", "clown", "loser", "dumb", "fool"),
-    "contempt": ("scum", "trash", "worthless", "pathetic", "disgusting", "vermin", "filth"),
-}
+#: Kinds of toxicity that are told apart, and the features by which they are.
+KINDS, TELLING = 2, 64
+#: The categories in the order of the chain.
+CATEGORIES = ("low_quality", *(f"kind_{k + 1}" for k in range(KINDS)), "toxic")
 #: Beginnings of a word, in letters, that are features besides the word itself.
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -93,6 +94,42 @@ class Link:
         return _p(rows.sums(self.weights) + before @ self.chain + self.bias)
 
 
+def telling(rows: Rows, y: np.ndarray, width: int) -> np.ndarray:
+    """By how many standard errors the share of rows with a feature differs between the two labels; -1 if none has it."""
+    have = np.bincount(rows.cols, minlength=width)
+    with_y = np.bincount(rows.cols, weights=y[np.repeat(np.arange(len(y)), np.diff(rows.at))], minlength=width)
+    n1 = max(y.sum(), 1)
+    n0 = max(len(y) - n1, 1)
+    share = np.clip(have / len(y), 0.5 / len(y), 1 - 0.5 / len(y))
+    apart = (with_y / n1 - (have - with_y) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    return np.where(have > 0, apart, 0)
+
+
+def kinds(rows: Rows, y: np.ndarray, width: int, n: int = KINDS, steps: int = 20) -> np.ndarray:
+    """[row, kind]: 1 for the kind of each row labelled ``y``, by k-means on the features that are most in its favour.
+
+    The first centre is the row with most of them, each other the row farthest from those before; the same input gives the same kinds.
+    """
+    out = np.zeros((len(y), n))
+    best = np.argsort(-telling(rows, y, width), kind="stable")[:TELLING]
+    number = np.full(width, -1)
+    number[best] = np.arange(len(best))
+    own = np.flatnonzero(y > 0)
+    v = np.zeros((len(own), len(best)))
+    for i, r in enumerate(own.tolist()):
+        cols = number[rows.cols[rows.at[r] : rows.at[r + 1]]]
+        v[i, cols[cols >= 0]] = 1
+    v /= np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    centres = v[[int(np.argmax((v > 0).sum(axis=1)))]]
+    while len(centres) < n:
+        centres = np.concatenate([centres, v[[int(np.argmin((v @ centres.T).max(axis=1)))]]])
+    for _ in range(steps):
+        kind = np.argmax(v @ centres.T, axis=1)
+        centres = np.stack([v[kind == k].mean(axis=0) if (kind == k).any() else centres[k] for k in range(n)])
+    out[own, kind] = 1
+    return out
+
+
 def fit(name: str, rows: Rows, before: np.ndarray, y: np.ndarray, width: int, best: int = 3000, steps: int = 120, l2: float = 2e-4, rate: float = 0.15) -> Link:
     """Full-batch Adam on the mean log loss with an L2 penalty; the same input gives the same weights.
 
@@ -105,8 +142,7 @@ def fit(name: str, rows: Rows, before: np.ndarray, y: np.ndarray, width: int, be
     with_y = np.bincount(rows.cols, weights=y[row], minlength=width)
     n1 = max(y.sum(), 1)
     n0 = max(n - n1, 1)
-    share = np.clip(have / n, 0.5 / n, 1 - 0.5 / n)
-    apart = np.abs(with_y / n1 - (have - with_y) / n0) / np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    apart = np.abs(telling(rows, y, width))
     seen = np.sort(np.argsort(-np.where(have > 0, apart, -1), kind="stable")[: min(best, int((have > 0).sum()))])
     number = np.full(width, -1)
     number[seen] = np.arange(len(seen))
@@ -171,41 +207,36 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float(np.median(cuts[right == right.max()]))
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = 6000, bits: int = 18, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", seeds: dict[str, tuple[str, ...]] = SEEDS) -> Chain:
+def learn(docs: DataFrame, labels: DataFrame, most: int = 6000, bits: int = 18, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", quality_col: str = "quality") -> Chain:
     """Fit the chain on at most ``most`` labelled rows, those with the smallest hash of their id.
 
     Only feature numbers of the sample reach the driver, not texts.
     """
-    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(id_col).agg(F.max(F.col(label_col).cast("int")).alias("y"))
-    known = known.orderBy(F.xxhash64(id_col), id_col).limit(most)
-    names = list(seeds)
+    low = (F.col(quality_col) == 0) if quality_col in labels.columns else F.lit(False)
+    known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+    known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("y"), F.max(F.coalesce(low, F.lit(False)).cast("int")).alias("low"))
+    known = known.orderBy(F.xxhash64("id"), "id").limit(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols, marks = [], []
-            for t in batch.column(1):
-                text = t.as_py()
-                cols.append(features(text, bits).tolist())
-                words = set(_WORD.findall(text.lower()))
-                marks.append([int(any(w.startswith(seeds[c]) for w in words)) for c in names])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cols, pa.list_(pa.int32())), pa.array(marks, pa.list_(pa.int32()))], names=["id", "y", "cols", "marks"])
-
-    chosen = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    chosen = chosen.join(F.broadcast(known.select(F.col(id_col).alias("id"), "y")), "id").select("id", "text", "y")  # at most ``most`` rows
+            cols = [features(t.as_py(), bits).tolist() for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(cols, pa.list_(pa.int32()))], names=["id", "y", "low", "cols"])
+
+    chosen = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    chosen = chosen.join(F.broadcast(known), "id").groupBy("id", "y", "low").agg(F.min("text").alias("text"))  # at most ``most`` rows
     kind = chosen.schema["id"].dataType.simpleString()
-    sample = chosen.mapInArrow(run, f"id {kind}, y int, cols array<int>, marks array<int>").toArrow()
+    sample = chosen.mapInArrow(run, f"id {kind}, y int, low int, cols array<int>").toArrow()
     order = sorted(range(sample.num_rows), key=lambda i: (zlib.crc32(str(sample["id"][i].as_py()).encode()), str(sample["id"][i].as_py())))
     rows = Rows.of([sample["cols"][i].values.to_numpy(zero_copy_only=False) for i in order])
-    y = np.array([sample["y"][i].as_py() > 0 for i in order], dtype=float)
+    y, poor = (np.array([sample[c][i].as_py() > 0 for i in order], dtype=float) for c in ("y", "low"))
     if len(set(y.tolist())) < 2:  # also if there is no row
         return Chain(bits)
-    marks = np.array([sample["marks"][i].as_py() for i in order], dtype=float).reshape(len(order), -1)
-    return train(rows, {c: marks[:, k] * y for k, c in enumerate(names)} | {label_col: y}, bits)
+    parted = kinds(rows, y, 1 << bits)
+    return train(rows, dict(zip(CATEGORIES, [poor, *parted.T, y], strict=True)), bits)
 
 
-def score(docs: DataFrame, chain: Chain, names: list[str], id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False) -> DataFrame:
-    """The id (or all columns) of every row with p_<category> for each of ``names`` and ``rejected``."""
-    inputs = docs.columns if keep_columns else [id_col]
+def _scored(docs: DataFrame, inputs: list[str], text_col: str, chain: Chain) -> DataFrame:
+    """The input columns, numbered (``_0`` ...), then p_<category> of each and ``rejected``, for every row."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # 2 ** bits weights for each link
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,19 +245,27 @@ def score(docs: DataFrame, chain: Chain, names: list[str], id_col: str = "doc_id
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
                 rows = Rows.of([features(t.as_py(), model.bits, known) for t in part.column(part.num_columns - 1)])
-                p = model.scores(rows) if model.links else np.zeros((part.num_rows, len(names)))
+                p = model.scores(rows) if model.links else np.zeros((part.num_rows, len(CATEGORIES)))
                 bad = (p[:, -1] >= model.threshold) & (np.diff(rows.at) > 0) & bool(model.links)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(len(names))], pa.array(bad)], names=out)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *[pa.array(np.ascontiguousarray(p[:, k])) for k in range(len(CATEGORIES))], pa.array(bad)], names=out)
+
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inputs)], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("_text"))
+    out = [f"_{i}" for i in range(len(inputs))] + [f"p_{n}" for n in CATEGORIES] + ["rejected"]
+    types = [f"_{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(inputs))] + [f"p_{n} double" for n in CATEGORIES] + ["rejected boolean"]
+    return rows.mapInArrow(run, ", ".join(types))
+
+
+def score(docs: DataFrame, chain: Chain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The id of every row with p_<category> for each category and ``rejected``. Other columns are ignored."""
+    return _scored(docs, [id_col], text_col, chain).withColumnRenamed("_0", id_col)
+
 
-    cols = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(inputs)]
-    rows = docs.select(*cols, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    out = [f"_{i}" for i in range(len(inputs))] + [f"p_{n}" for n in names] + ["rejected"]
-    types = [f"_{i} {rows.schema[i].dataType.simpleString()}" for i in range(len(inputs))] + [f"p_{n} double" for n in names] + ["rejected boolean"]
-    done = rows.mapInArrow(run, ", ".join(types))
-    return done.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(inputs)], *[f"p_{n}" for n in names], "rejected")
+def accepted(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the chain does not reject, with all their columns, whatever their names."""
+    left = _scored(docs, docs.columns, text_col, chain).where("not rejected")
+    return left.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def detect(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Scores of every document by a chain learnt from ``labels``."""
-    names = [*options.get("seeds", SEEDS), options.get("label_col", "toxic")]
-    return score(docs, learn(docs, labels, **options), names, options.get("id_col", "doc_id"), options.get("text_col", "text"))
+    return score(docs, learn(docs, labels, **options), options.get("id_col", "doc_id"), options.get("text_col", "text"))
