@@ -9,6 +9,14 @@ notices. A temperature fitted on held-out examples calibrates the probabilities,
 the unknown class takes what is uncertain. A prediction is confirmed if enough of
 the words of one of the family's templates appear in the paragraph in their order.
 
+A paragraph is a line, or adjacent lines without a blank one between them, as notices
+are often wrapped. Lines are joined from one that has two words of a template next to
+each other, as long as what is joined has at most twice the words of the longest
+template; a joined paragraph is reported only if it is confirmed, has at most twice the
+words of its template, and shows more of the template than each of its lines does
+alone. Of those that overlap, the one with the largest share, then the fewest lines, then
+the first is reported.
+
 N-grams outside the vocabulary weigh nothing; a paragraph without any is unknown by
 the intercepts alone, so only paragraphs with an n-gram of weight are scored.
 
@@ -85,6 +93,12 @@ class Model:
         p = np.exp(z - z.max())
         return p / p.sum()
 
+    def pairs(self) -> frozenset:
+        """Adjacent words of templates."""
+        if not hasattr(self, "_pairs"):
+            self._pairs = frozenset(f"{a} {b}" for *_, own in self.templates for a, b in zip(own, own[1:], strict=False))
+        return self._pairs
+
     def compare(self, parts: list[str], family: str) -> tuple[int, float]:
         """(template, share of its words that ``parts`` has in their order) of the family's best template."""
         best = (-1, 0.0)
@@ -174,46 +188,92 @@ def train(unknown: list[str], copies: int = 24, steps: int = 250, l2: float = 1e
     return Model(families, known, single, w, b, temperature, templates)
 
 
-def learn(docs: DataFrame, sample_rows: int = 400, sample_paragraphs: int = 4000, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Train with unknowns from the ``sample_rows`` texts with the smallest hash of id, ``sample_paragraphs`` at most."""
+def learn(docs: DataFrame, sample_rows: int = 400, sample_paragraphs: int = 4000, sample_chars: int = 600, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Train with unknowns from the ``sample_rows`` texts with the smallest hash of id: ``sample_paragraphs`` lines at most, of each at most ``sample_chars`` characters.
+
+    Of texts that share an id, the one that sorts first counts.
+    """
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(sample_rows)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id")
-    lines = texts.select("id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph")).where(F.length("paragraph") <= 600)
-    rows = lines.orderBy(F.xxhash64("id", "line"), "id", "line").limit(sample_paragraphs).select("paragraph").collect()
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"))
+    lines = texts.select("id", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+    rows = lines.orderBy(F.xxhash64("id", "line"), "id", "line").limit(sample_paragraphs).select(F.left("paragraph", F.lit(sample_chars)).alias("paragraph")).collect()
     return train(sorted(r[0] for r in rows if r[0].strip() and not _HINTS & set(words(r[0]))))
 
 
+@dataclass
+class Found:
+    """A paragraph with a family: lines ``first`` to ``last``."""
+
+    first: int
+    last: int
+    family: str
+    probability: float
+    template: int
+    share: float
+
+
+def judged(model: Model, parts: list[str], first: int, last: int, least_probability: float) -> Found | None:
+    """What the classifier makes of the words of some lines, if not unknown."""
+    found = grams(parts, model.known, model.single)
+    if not found:
+        return None
+    p = model.probabilities(found)
+    best = int(p.argmax())
+    if model.families[best] == UNKNOWN or p[best] < least_probability:
+        return None
+    return Found(first, last, model.families[best], float(p[best]), *model.compare(parts, model.families[best]))
+
+
+def notices(model: Model, text: str, least_probability: float = 0.5, least_share: float = 0.8) -> list[Found]:
+    """The paragraphs of a text that have a family, by their first line: lines, and confirmed joined lines."""
+    lines = [words(line) for line in text.split("\n")]
+    alone = [judged(model, parts, k, k, least_probability) if parts else None for k, parts in enumerate(lines)]
+    size = {(f, i): len(own) for f, i, own in model.templates}
+    most, pairs = 2 * max(size.values()), model.pairs()
+    joined = []
+    for k, parts in enumerate(lines):
+        if len(parts) >= most or not any(f"{a} {b}" in pairs for a, b in zip(parts, parts[1:], strict=False)):
+            continue
+        wrapped, last = list(parts), k
+        while last + 1 < len(lines) and lines[last + 1] and len(wrapped) + len(lines[last + 1]) <= most:
+            last += 1
+            wrapped += lines[last]
+            one = judged(model, wrapped, k, last, least_probability)
+            if one and one.share >= least_share and len(wrapped) <= 2 * size[one.family, one.template] and all(a is None or a.share < one.share for a in alone[k : last + 1]):
+                joined.append(one)
+    out: list[Found] = []
+    for one in sorted(joined, key=lambda f: (-f.share, f.last - f.first, f.first)):
+        if all(one.last < o.first or o.last < one.first for o in out):
+            out.append(one)
+    inside = {k for o in out for k in range(o.first, o.last + 1)}
+    return sorted([*out, *(a for k, a in enumerate(alone) if a and k not in inside)], key=lambda f: f.first)
+
+
 def scan(docs: DataFrame, model: Model, least_probability: float = 0.5, least_share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Paragraphs (lines) that the classifier gives a family.
+    """Paragraphs that the classifier gives a family.
 
-    Columns: id, paragraph (number), start and length (characters), family, probability, template (number in
-    the family), share (of the template's words found in order) and confirmed.
+    Columns: id, paragraph (number of its first line), lines, start and length (characters), family, probability,
+    template (number in the family), share (of the template's words found in order) and confirmed.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        unknown = own.families.index(UNKNOWN)
-        out_types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.bool_()]
-        out_names = ["paragraph", "start", "length", "family", "probability", "template", "share", "confirmed"]
+        out_types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.float64(), pa.bool_()]
+        out_names = ["paragraph", "lines", "start", "length", "family", "probability", "template", "share", "confirmed"]
         for batch in batches:
             row, rows = [], []
             for i, t in enumerate(batch.column(1)):
-                at = 0
-                for k, line in enumerate((t.as_py() or "").split("\n")):
-                    parts = words(line)
-                    found = grams(parts, own.known, own.single)
-                    if found:
-                        p = own.probabilities(found)
-                        best = int(p.argmax())
-                        if best != unknown and p[best] >= least_probability:
-                            number, share = own.compare(parts, own.families[best])
-                            row.append(i)
-                            rows.append((k, at, len(line), own.families[best], float(p[best]), number, share, share >= least_share))
-                    at += len(line) + 1
-            cols = [pa.array(c, x) for c, x in zip(zip(*rows, strict=True) if rows else [[]] * 8, out_types, strict=True)]
+                text = t.as_py() or ""
+                if not (found := notices(own, text, least_probability, least_share)):
+                    continue
+                sizes = [len(line) for line in text.split("\n")]
+                for f in found:
+                    row.append(i)
+                    rows.append((f.first, f.last - f.first + 1, sum(sizes[: f.first]) + f.first, sum(sizes[f.first : f.last + 1]) + f.last - f.first, f.family, f.probability, f.template, f.share, f.share >= least_share))
+            cols = [pa.array(c, x) for c, x in zip(zip(*rows, strict=True) if rows else [[]] * len(out_names), out_types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *cols], names=["id", *out_names])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, paragraph int, start long, length long, family string, probability double, template int, share double, confirmed boolean").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {kind}, paragraph int, lines int, start long, length long, family string, probability double, template int, share double, confirmed boolean").withColumnRenamed("id", id_col)
