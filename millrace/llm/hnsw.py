@@ -1,17 +1,19 @@
 """Embedding near-duplicates by navigable small-world graphs, one for each shard.
 
-Equal vectors form a class first. Classes are dealt to shards by hash; each shard
-builds a hierarchical graph in one task and audits it: probes made at the
-threshold's distance from its own vectors are searched and compared with brute
-force, and the beam doubles until the wanted recall is reached (at the size of
-the shard the search is a full scan). Then every block of classes is searched in
+Vectors that are equal, but for a factor that is a power of two, form a class first.
+Classes are dealt to shards by hash; each shard builds a hierarchical graph in one task
+and audits it: some of its own vectors, and probes made at the threshold's distance from
+them, are searched and compared with brute force, and the beam doubles until the mean
+recall of a query is as wanted for both (at the size of the shard the search is a full
+scan). The least recall of a shard is returned. Then every block of classes is searched in
 every shard. A query whose beam holds nothing but hits is searched again with
 twice the beam, so no limit cuts its links. Hits are verified by cosine in double
 precision. A unit gives each query's number of links and a spanning forest of
 them, not all pairs; components unite the forests.
 
-Shards number ``least_shards`` at least and hold ``shard_rows`` rows at most on
-average, so the work of a unit is bounded and units number shards times blocks.
+Shards number ``least_shards`` at least and hold ``shard_rows`` rows and ``shard_mb``
+megabytes of vectors at most on average, blocks likewise, so the work of a unit is
+bounded and units number shards times blocks.
 
 Results for odd input: a vector that is null, empty, zero, or holds a null or a
 non-finite component links with nothing. Vectors of differing lengths do not
@@ -222,13 +224,14 @@ class Graph:
         side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
         cos = threshold + 0.1 * (1 - threshold)
         queries = (cos * own + np.sqrt(1 - cos * cos) * side * (d > 1)).astype(np.float32)
-        truth = [np.flatnonzero(row >= threshold) for row in queries @ self.vectors.T]
-        total = sum(map(len, truth))
+        sets = [(q, [np.flatnonzero(row >= threshold) for row in q @ self.vectors.T]) for q in (queries, own.astype(np.float32))]
         while True:
-            found = self.search(queries, threshold)
-            got = sum(len(np.intersect1d(a, b)) for a, b in zip(truth, found, strict=True)) / max(total, 1)
-            if not total or got >= recall or self.beam >= n:
-                return got if total else 1.0
+            means = []
+            for q, truth in sets:
+                each = [len(np.intersect1d(a, b)) / len(a) for a, b in zip(truth, self.search(q, threshold), strict=True) if len(a)]
+                means.append(float(np.mean(each)) if each else 1.0)
+            if min(means) >= recall or self.beam >= n:
+                return min(means)
             self.beam = min(2 * self.beam, n)
 
     def dump(self) -> bytes:
@@ -253,7 +256,9 @@ def packed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                 x = v.as_py()
                 ok = x is not None and len(x) and None not in x
                 a = np.array(x if ok else [0.0], dtype=np.float64) + 0.0
-                ok = ok and np.isfinite(a).all() and np.isfinite(norm := np.linalg.norm(a)) and norm > 0
+                ok = ok and np.isfinite(a).all() and a.any()
+                if ok:  # the largest component between 1/2 and 1, so that no length leaves the range of doubles
+                    a = np.ldexp(a, -int(np.frexp(np.abs(a).max())[1])) + 0.0
                 data.append(a.tobytes() if ok else None)
                 keys.append(hashlib.blake2b(data[-1], digest_size=16).digest() if ok else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary()), pa.array(keys, pa.binary())], names=["id", "vector", "key"])
@@ -266,14 +271,14 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 16_384, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row for each row of ``vectors``: id, n_links, component_id and kept."""
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 16_384, shard_mb: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """One row for each row of ``vectors``: id, n_links, component_id, kept and recall (the least that a shard's audit reached)."""
     rows = keep(packed(vectors, id_col, vector_col), "vectors")
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("vector").alias("vector"))
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", (F.octet_length("vector") / 8).cast("int")), "vector-classes")
-    count = classes.count()
-    shards = max(least_shards, -(-count // shard_rows))
-    blocks = max(1, -(-count // block_rows))
+    count, size = classes.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("vector")), F.lit(0))).first()
+    shards = max(least_shards, -(-count // shard_rows), -(-size // (shard_mb << 20)))
+    blocks = max(1, -(-count // block_rows), -(-size // (shard_mb << 20)))
 
     def build(group: pa.Table) -> pa.Table:
         v = _matrix(group.column("vector"), group.column("width")[0].as_py())
@@ -323,8 +328,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float =
     parts = components(found.where("b is not null").select("a", "b")).withColumnRenamed("component", "part")
     named = classes.select("key", "node", "least", "n").join(links, "node", "left").join(parts, "node", "left").withColumn("part", F.coalesce("part", "node"))
     named = keep(named, "vector-parts")
-    reach = named.groupBy("part").agg(F.min("least").alias("component_id"))
+    reach = keep(named.groupBy("part").agg(F.min("least").alias("component_id")), "vector-firsts")  # so that the join can split a large component
     named = keep(named.join(reach, "part").select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "vector-components")
     bad = rows.where("key is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    reached = graphs.agg(F.coalesce(F.min("recall"), F.lit(1.0))).first()[0]
     out = rows.where("key is not null").select("id", "key").join(named, "key").select("id", "n_links", "component_id").unionByName(bad)
-    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    return out.select(F.col("id").alias(id_col), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"), F.lit(reached).alias("recall"))
