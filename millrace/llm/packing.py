@@ -44,32 +44,39 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _in_order(model: dict) -> bool:
+    """Whether the ids of what merges make rise with the merges' order, as encoding by rank takes for granted."""
+    made = [model["vocab"].get("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    return None not in made and all(a < b for a, b in zip(made, made[1:], strict=False))
+
+
 class Encoder:
     """Token ids of a tokenizer file as little-endian unsigned 32-bit bytes.
 
     Byte-level BPE never joins across a space between two other characters that
     are not white space, so what stands between such spaces is encoded once and
     remembered (``remembered`` entries, then forgotten and learnt anew). Other
-    tokenizers, and other pre-tokenisers, take the plain path.
+    tokenizers and pre-tokenisers, files whose ids don't rise with the merges, and
+    texts that hold an added token take the plain path.
     """
 
     def __init__(self, path: str, remembered: int = 300_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        from tokenizers import Tokenizer
+
         self.remembered, self.known, self.older, self.fast = remembered, {}, {}, None
+        self.plain = Tokenizer.from_file(path)
+        added = [t["content"] for t in spec.get("added_tokens", [])]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        vocabulary = spec["model"].get("vocab")
         before = spec.get("pre_tokenizer") or {}
-        if spec["model"]["type"] == "BPE" and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not spec.get("normalizer"):
+        if spec["model"]["type"] == "BPE" and _in_order(spec["model"]) and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True) and not spec.get("normalizer"):
             import tiktoken
 
             byte = _byte_of()
-            special = {t["content"] for t in spec.get("added_tokens", [])}
-            ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+            ranks = {bytes(byte[c] for c in t): i for t, i in vocabulary.items() if t not in added}
             self.fast = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        else:
-            from tokenizers import Tokenizer
-
-            self.slow = Tokenizer.from_file(path)
-            self.slow.encode_special_tokens = True
 
     def _miss(self, part: str) -> bytes:
         if len(self.known) >= self.remembered:
@@ -80,8 +87,8 @@ class Encoder:
         return found
 
     def __call__(self, text: str) -> bytes:
-        if self.fast is None:
-            return array("I", self.slow.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.fast is None or self.added and self.added.search(text):
+            return array("I", self.plain.encode(text, add_special_tokens=False).ids).tobytes()
         first, *rest = _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
         known, miss = self.known, self._miss
         return array("I", self.fast.encode_ordinary(first)).tobytes() + b"".join([known.get(p) or miss(p) for p in rest])
