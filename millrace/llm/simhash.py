@@ -4,10 +4,12 @@ A text's fingerprint is the majority vote over the hashes of its word shingles.
 For a fixed list of reference fingerprints ("pivots") the Hamming distances of a
 fingerprint's segments to each pivot are computed once. They serve twice:
 
-* Of at most ``radius`` differing bits, spread over ``radius + 1`` segments, one
-  segment gets none, so two linked fingerprints have equal distances to *all*
-  pivots in some segment. That row of the table is the equi-join key by which
-  rows meet; no linked pair is lost.
+* Of at most ``radius`` differing bits, spread over m segments, m - ``radius``
+  segments get none, so two linked fingerprints have equal distances to *all*
+  pivots in each of them. Those rows of the table, for every choice of m - ``radius``
+  segments, are the equi-join keys by which rows meet; no linked pair is lost.
+  More fingerprints are cut in more segments, which makes longer keys: 5 keys of 12
+  bits, 15 of 20, 35 of 27 or 70 of 32, so buckets of unrelated rows stay small.
 * Where rows meet, a pair is discarded as soon as its distances to one pivot
   differ by more than the radius (triangle inequality); what survives all pivots
   is verified on the fingerprints themselves.
@@ -24,6 +26,7 @@ input are ignored, so their names cannot clash. An empty table gives an empty on
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections.abc import Iterator
@@ -88,27 +91,39 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fp long").withColumnRenamed("id", id_col)
 
 
-def _segments(radius: int) -> list[tuple[int, int]]:
-    """(first bit, bits) of radius + 1 segments of the 64 bits."""
-    cuts = [64 * i // (radius + 1) for i in range(radius + 2)]
+def _segments(n: int) -> list[tuple[int, int]]:
+    """(first bit, bits) of n segments of the 64 bits."""
+    cuts = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def segments_for(n: int, radius: int, bucket: int = TILE) -> int:
+    """Into how many segments n fingerprints are cut, so that a bucket of unrelated ones has some ``bucket`` members at most."""
+    m = radius + 1
+    while m < 2 * radius and n >> (64 // m * (m - radius)) > bucket:
+        m += 1
+    return m
+
+
 def _long(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def table_keys(fp: Column, radius: int, refs: list[int]) -> list[Column]:
-    """For each segment a long that packs its distances to all pivots, and the segment's number."""
-    keys = []
-    for s, (first, bits) in enumerate(_segments(radius)):
-        mask = ((1 << bits) - 1) << first
-        key = F.lit(s).cast("long")
+def table_keys(fps: np.ndarray, radius: int, refs: np.ndarray, cut: int) -> Iterator[np.ndarray]:
+    """For each choice of ``cut`` - ``radius`` segments a number for their distances to all pivots."""
+    parts = []
+    for first, bits in _segments(cut):
+        packed = np.zeros(len(fps), np.uint64)
         for r in refs:
-            near = F.bit_count(fp.bitwiseXOR(F.lit(_long(r))).bitwiseAND(F.lit(_long(mask))))
-            key = F.shiftleft(key, bits.bit_length()).bitwiseOR(near.cast("long"))
-        keys.append(key)
-    return keys
+            near = np.bitwise_count((fps ^ r) & np.uint64(((1 << bits) - 1) << first))
+            packed = (packed << np.uint64(bits.bit_length())) | near.astype(np.uint64)
+        parts.append(packed)
+    for k, chosen in enumerate(itertools.combinations(parts, cut - radius)):
+        key = np.full(len(fps), k + 1, np.uint64)
+        for part in chosen:
+            key = (key ^ part) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        yield key
 
 
 def survivors(fps: np.ndarray, side: np.ndarray, radius: int, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +149,17 @@ def survivors(fps: np.ndarray, side: np.ndarray, radius: int, refs: np.ndarray)
     return np.concatenate(found_a or [order[:0]]), np.concatenate(found_b or [order[:0]])
 
 
-def linked(fps: DataFrame, radius: int = 4, n_pivots: int = 10, tile: int = TILE) -> DataFrame:
-    """Edges (a, b) of distinct fingerprints whose components are those of all links within ``radius`` bits."""
-    refs = pivots(n_pivots)
+def linked(fps: DataFrame, radius: int = 4, n_pivots: int = 10, tile: int = TILE, cut: int | None = None) -> DataFrame:
+    """Edges (a, b) of distinct fingerprints whose components are those of all links within ``radius`` bits; ``cut`` segments, by their number if None."""
+    refs, cut = pivots(n_pivots), cut or segments_for(fps.count(), radius)
     at = np.array(refs, dtype=np.uint64)
-    keyed = fps.select(F.col("fp").alias("id"), F.explode(F.array(*table_keys(F.col("fp"), radius, refs))).alias("bucket"))
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key in table_keys(batch.column(0).to_numpy().view(np.uint64), radius, at, cut):
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64))], names=["id", "bucket"])
+
+    keyed = fps.select(F.col("fp").alias("id")).mapInArrow(keys, "id long, bucket long")
 
     def work(unit: pa.Table) -> pa.RecordBatch | None:
         ids = unit.column("id").to_numpy()
@@ -160,7 +181,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = keep(marked.groupBy("fp").agg(F.min(id_col).alias("least")), "fp-classes")
     found = components(linked(classes, radius, n_pivots))
     joined = found.join(classes, found["node"] == classes["fp"]).select("fp", "component", "least")
-    least = joined.groupBy("component").agg(F.min("least").alias("reach"))
+    joined = keep(joined, "fp-reached")
+    least = keep(joined.groupBy("component").agg(F.min("least").alias("reach")), "fp-least")  # so that the join can split a large component
     reach = joined.join(least, "component").select("fp", "reach")
     named = keep(classes.join(reach, "fp", "left").select("fp", F.coalesce("reach", "least").alias("component_id")), "fp-components")
     return marked.join(named, "fp").select(id_col, "fp", "component_id")
@@ -190,8 +212,11 @@ def key_plan(n: int, threshold: float, recall: float) -> tuple[int, int, int]:
     radius = min(128, math.ceil(128 * p + 3.1 * math.sqrt(128 * p * (1 - p))))
     bits = max(10, math.ceil(math.log2(max(n, 2))) - 12)
     keys = 1
-    while shared_key_chance(bits, keys, p, radius) < min(recall, 0.998) and keys < 4096:
+    wanted = min(recall, 0.998)  # the radius alone loses one in a thousand
+    while shared_key_chance(bits, keys, p, radius) < wanted:
         keys += max(1, keys // 20)
+        if keys > 4096:
+            raise ValueError(f"no plan of 4096 keys finds pairs at {threshold} with probability {recall} among {n} texts")
     return bits, keys, radius
 
 
@@ -287,7 +312,8 @@ def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
     wanted = keep(wanted.join(spots, ["spot", "text_hash"]).dropDuplicates(["id"]).select("id", "shingles"), "text-sets")
     parts = components(jaccard_edges(met.join(wanted, "id").repartition("unit", "bucket"), threshold))
     named = classes.join(parts, classes["class"] == parts["node"], "left").select("digest", "place", F.coalesce("component", "class").alias("component"))
-    firsts = named.groupBy("component").agg(F.min("place").alias("first"))
+    named = keep(named, "text-parts")
+    firsts = keep(named.groupBy("component").agg(F.min("place").alias("first")), "text-leaders")  # so that the join can split a large component
     named = keep(named.select("digest", "component").join(firsts, "component").select("digest", "first"), "text-components")
     return marked.groupBy("id", "text_hash", "digest").agg(F.count("*").alias("copies")).join(named, "digest").select("id", "text_hash", "copies", "first")
 
@@ -295,9 +321,10 @@ def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each component: the one with the smallest id (of those, the smallest text hash)."""
     found = keep(text_components(docs, id_col=id_col, text_col=text_col, **options), "text-firsts")
-    stay = found.where(F.struct("id", "text_hash").eqNullSafe(F.col("first"))).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
-    here = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))) == F.col("_hash"))
-    out = docs.join(stay, here)
+    stay = found.where(F.struct("id", "text_hash").eqNullSafe(F.col("first"))).select("id", "text_hash")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("row_id", F.col(f"row.`{id_col}`")).withColumn("row_hash", F.xxhash64(F.coalesce(F.col(f"row.`{text_col}`").cast("string"), F.lit(""))))
+    out = rows.join(stay, rows["row_id"].eqNullSafe(stay["id"]) & (rows["row_hash"] == stay["text_hash"]))
     if not found.where("copies > 1").isEmpty():  # rows equal in id and text
-        out = out.dropDuplicates(["_id", "_hash"])
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        out = out.dropDuplicates(["id", "text_hash"])
+    return out.select("row.*")
