@@ -1,31 +1,30 @@
 """Repeated passages found by MinHash banding of paragraphs.
 
-A paragraph is a line of ``least_words`` words or more. Equal paragraphs (words
-lower-cased) form a class. Each class gets MinHash values of its word shingles,
-in bands tuned so that two paragraphs at the threshold share one with the
-wanted probability; classes that share a band meet, and their exact Jaccard
-similarity is computed. Connected components over classes name the copies.
-
-In a text, adjacent paragraphs that have copies form a passage, with the short lines
-between them; passages of ``passage_words`` words or more are reported, so a common
-short line alone is not. (45: a passage of 50 words may begin and end with lines too
-short to be paragraphs.)
-The first occurrence of each paragraph (smallest id, then text hash, then place)
-is the one kept.
-
-``passages`` finds what no whole line shows: runs of 45 equal words or more that stand
-in two places, wherever they begin and end. Every window of 45 words is known by the
-least hash of its 20-word runs, so windows that are equal share it. Adjacent windows with
-one such mark form a block; where a mark's blocks are all equal they are compared whole,
-else window by window. No equal run is lost (but for the
-chance that two 64-bit hashes collide, nothing else is reported). In one text, windows
-that overlap an earlier equal one do not count. ``without_copies`` takes out both.
-
-A text row is known by its id and the hash of its text: rows equal in both count
-as one text. Results for odd input: null and empty texts and short lines have no
-paragraphs. A null id sorts first. A paragraph that is repeated inside one text
-counts as copied. Other columns are ignored (``without_copies`` returns them). An
-empty table gives no rows.
+There are two kinds of paragraphs. All words are lower-cased.
+
+* Lines of ``least_words`` words or more, which may differ a little. Equal lines form a class. Each
+  class gets MinHash values of its word shingles, in bands tuned so that two lines at the threshold
+  share one with the wanted probability; classes that share a band meet, and their exact Jaccard
+  similarity is computed. Connected components over classes name the copies. In a text, adjacent
+  lines that have copies form a passage, with the short lines between them; passages of
+  ``passage_words`` words or more are reported (``copied``), so a common short line alone is not.
+* Stretches of the word stream, whatever lines it is broken into, which must be equal. Every window
+  of 23 three-word shingles gets its MinHash; the shingle that is least begins a paragraph of 23
+  words. An equal run of 45 words, wherever it begins and ends, holds a whole such window and the
+  paragraph that begins in it, so both copies have that paragraph. Paragraphs of equal words collide
+  and form a class, which is its own component. Adjacent copied paragraphs form a chain; from its ends
+  the texts are compared word by word with the first occurrence, so passages end where the words
+  differ, not where a paragraph does. Chains of ``passage_words`` words or more are reported (``runs``).
+
+The first occurrence of each paragraph (smallest id, then text hash, then place) is the one kept.
+``repeated`` is the union of both kinds; ``without_copies`` takes both out of the texts.
+
+A text row is known by its id and the hash of its text: rows equal in both count as one text.
+Results for odd input: null and empty texts have no paragraphs. A null id sorts first. A paragraph
+that is repeated inside one text counts as copied. Every word of a copy has the same word at an earlier
+place, and that at an earlier one if it is a copy too, so what is taken out always stays in some text.
+Other columns are ignored (``without_copies`` returns them, whatever their names). An empty table
+gives no rows. A text in which the least shingle of a window occurs twice in it may lose that window.
 """
 
 from __future__ import annotations
@@ -49,9 +48,13 @@ from millrace.operators.components import components
 from millrace.plans.scratch import keep
 
 TILE = 1024
-#: Words of a run whose hash marks a window, and runs in a window: 45 words.
-RUN, RUNS = 20, 26
+#: Words of an anchored paragraph, shingles of a window whose least begins one, words of a shingle. Equal runs of UNIT + AROUND - 1 words share one;
+#: with UNIT no less than AROUND the paragraphs of a run leave no gap.
+UNIT, AROUND, GRAM = 23, 23, 3
+#: Words next to a chain's end that are compared; more than AROUND - 1, so that the ends of equal runs are reached.
+CONTEXT = 32
 _C = np.uint64(0x9E3779B97F4A7C15)
+_WHITE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
 def tuned_bands(threshold: float, recall: float, rows: int = 3) -> int:
@@ -70,6 +73,16 @@ def word_hashes(words: list[str]) -> np.ndarray:
     return np.frombuffer(b"".join([digest(w) for w in words]), dtype=">u8").astype(np.uint64)
 
 
+def word_spans(text: str) -> np.ndarray:
+    """(first character, the one after the last) of each word."""
+    white = np.zeros(len(text) + 2, dtype=bool)
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    white[[0, -1]] = True
+    white[1:-1] = _WHITE[np.minimum(code, len(_WHITE) - 1)]
+    edge = np.flatnonzero(white[1:] != white[:-1])
+    return edge.reshape(-1, 2)
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash of every run of ``size`` words."""
     n = len(words) - size + 1
@@ -214,7 +227,7 @@ def without_repeats(rows: DataFrame) -> DataFrame:
     return rows.join(one, "bucket", "left_semi")
 
 
-def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, least_words: int = 5, passage_words: int = 45, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def copied(docs: DataFrame, size: int = 5, threshold: float = 0.8, recall: float = 0.99, rows: int = 2, least_words: int = 5, passage_words: int = 45, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Paragraphs of repeated passages.
 
     Columns: ``id_col``, text_hash, line, start and length (characters), n_words, component (any number, one
@@ -257,120 +270,245 @@ def sliding_least(a: np.ndarray, n: int) -> np.ndarray:
     return a
 
 
-def _apart(h: np.ndarray, at: np.ndarray, least: int) -> np.ndarray:
-    """Which windows (hashes and places in order) do not overlap an earlier counted one with the same hash."""
-    out = np.ones(len(h), dtype=bool)
-    if len(np.unique(h)) < len(h):
-        last: dict[int, int] = {}
-        for i, (x, p) in enumerate(zip(h.tolist(), at.tolist(), strict=True)):
-            if p - last.get(x, -least) < least:
-                out[i] = False
-            else:
-                last[x] = p
+def anchors(h: np.ndarray, around: int = AROUND) -> np.ndarray:
+    """Places of the least of every ``around`` adjacent values (their upper 54 bits), of equal ones the last.
+
+    Where values repeat so often that more than every fourth place would be one, a place stays until it leaves the window.
+    """
+    n = len(h) - around + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    low = np.uint64(1023)  # the lowest bits name the place, and of equal values let the last be least
+    least = sliding_least((h | low) - (np.arange(len(h), dtype=np.uint64) & low), around)
+    window = np.arange(n)
+    at = window + (((low - (least & low)).astype(np.int64) - window) & 1023)
+    found = at[np.concatenate([[True], at[1:] != at[:-1]])]
+    if 4 * len(found) <= n:
+        return found
+    out, value = [-1], least | low
+    for j, (p, x) in enumerate(zip(at.tolist(), value.tolist(), strict=True)):
+        if out[-1] < j or x != last:
+            out.append(p)
+            last = x
+    return np.array(out[1:])
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hashes' multiplier and of its inverse."""
+    if len(_POWERS[0]) < n:
+        size = 1 << n.bit_length()
+        for k, base in enumerate((int(_C), pow(int(_C), -1, 1 << 64))):
+            with np.errstate(over="ignore"):
+                _POWERS[k] = np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, base, np.uint64))])
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
+_POWERS = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
+
+
+def anchored(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """(first word, hash of all its words) of every anchored paragraph."""
+    parts = (text or "").lower().split()
+    if len(parts) < UNIT + AROUND - 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    words = word_hashes(parts)
+    at = anchors(shingle_hashes(words, GRAM))
+    at = at[at <= len(words) - UNIT]
+    up, down = _powers(len(words) + 1)
+    total = np.concatenate([[np.uint64(0)], np.cumsum(words * up[:-1])])
+    return at, _mix((total[at + UNIT] - total[at]) * down[at])
+
+
+def chains(places: list[int]) -> list[tuple[int, int]]:
+    """(number of the first, of the last) of the sorted ``places`` in each stretch whose paragraphs leave no gap."""
+    out: list[tuple[int, int]] = []
+    for i, p in enumerate(places):
+        if out and p <= places[i - 1] + UNIT:
+            out[-1] = (out[-1][0], i)
+        else:
+            out.append((i, i))
     return out
 
 
-def _blocks(text: str | None) -> tuple[np.ndarray, ...] | None:
-    """Hash of every window of 45 words; then place, size, mark and hash of the blocks of windows with one mark."""
-    words = (text or "").lower().split()
-    if len(words) < RUN + RUNS - 1:
-        return None
-    runs = shingle_hashes(word_hashes(words), RUN)
-    n = len(runs) - RUNS + 1
-    window = _mix((runs[:n] * _C + runs[RUN : RUN + n]) * _C + runs[RUNS - 1 : RUNS - 1 + n])
-    mark = sliding_least(runs, RUNS)
-    at = np.flatnonzero(np.concatenate([[True], mark[1:] != mark[:-1]]))
-    size = np.diff(np.append(at, n))
-    return window, at, size, mark[at], _mix((window[at] * _C + window[at + size - 1]) * _C + size.astype(np.uint64))
+def _key(id_: Column, text_hash: Column) -> Column:
+    return F.xxhash64(id_, text_hash)
 
 
-def windows(docs: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
-    """id, text_hash, place (number of the first word), size and kept of the ``size`` adjacent windows of 45 words that stand in two places or more."""
+def _chained(docs: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
+    """id, text_hash, chain, begin, end, component, n_copies, and for each end the id, text_hash and place of the first occurrence of the paragraph there."""
     known = _identity(docs, id_col, text_col)
     kind = known.schema["id"].dataType.simpleString()
 
-    def marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = np.iinfo(np.int64)
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in batch.column(0):
-                if (found := _blocks(t.as_py())) is None:
-                    continue
-                _, _, size, mark, block = found
-                _, which, times = np.unique(mark, return_inverse=True, return_counts=True)
-                odd = (times[which] > 1) | (size > RUNS)  # the mark stands in several places of this text: window by window
-                low, high = (np.where(odd, end, block.view(np.int64)) for end in (ends.min, ends.max))
-                yield pa.RecordBatch.from_arrays([pa.array(mark.view(np.int64)), pa.array(-(-size // RUNS)), pa.array(low), pa.array(high)], names=["mark", "n", "low", "high"])
+            found = [anchored(t.as_py()) for t in batch.column(2)]
+            ends = pa.array(np.cumsum([0, *(len(at) for at, _ in found)]).astype(np.int32))
+            places, hashes = np.concatenate([*(x for x, _ in found), np.empty(0, np.int64)]), np.concatenate([*(x for _, x in found), np.empty(0, np.uint64)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32))), pa.ListArray.from_arrays(ends, pa.array(hashes.view(np.int64)))], names=["id", "text_hash", "places", "digests"])
 
-    twice = known.select("text").mapInArrow(marks, "mark long, n long, low long, high long").groupBy("mark").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    twice = keep(twice.where("n > 1").select("mark", (F.col("low") != F.col("high")).alias("mixed")), "passage-marks")
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((bloom.build(twice.select("mark"), filter_mb / 2), bloom.build(twice.where("mixed").select("mark"), filter_mb / 2)))
+    every = keep(known.mapInArrow(digests, f"id {kind}, text_hash long, places array<int>, digests array<long>").where(F.size("places") > 0), "stretches")
+    twice = every.select(F.explode("digests").alias("digest")).groupBy("digest").agg(F.count("*").alias("n")).where("n > 1").select("digest")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(keep(twice, "repeated-stretches"), filter_mb))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        any_, mixed = shared.value
+    def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, t in enumerate(batch.column(2)):
-                if (found := _blocks(t.as_py())) is None:
-                    continue
-                window, at, size, mark, block = found
-                live = bloom.passing(mark, any_)
-                if not len(live):
-                    continue
-                single = np.zeros(len(mark), dtype=bool)
-                single[live[bloom.passing(mark[live], mixed)]] = True
-                whole = live[~single[live]]
-                each = np.flatnonzero(np.repeat(single, size))
-                each = each[_apart(window[each], each, RUN + RUNS - 1)]
-                cols = [np.concatenate(x) for x in ((at[whole], each), (size[whole], np.ones(len(each), np.int64)), (block[whole], window[each]))]
-                row = pa.array(np.full(len(cols[0]), i))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *[pa.array(c.astype(np.int32)) for c in cols[:2]], pa.array(cols[2].view(np.int64))], names=["id", "text_hash", "place", "size", "window"])
-
-    found = keep(known.mapInArrow(cut, f"id {kind}, text_hash long, place int, size int, window long"), "passage-windows")
+            lists, digests = batch.column(2), batch.column(3).flatten().to_numpy().view(np.uint64)
+            live = bloom.passing(digests, shared.value)
+            row = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))[live])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), lists.flatten().take(pa.array(live)), pa.array(digests[live].view(np.int64))], names=["id", "text_hash", "place", "digest"])
+
+    found = keep(every.mapInArrow(units, f"id {kind}, text_hash long, place int, digest long"), "repeated-places")
     place = F.struct("id", "text_hash", "place")
-    seen = found.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
-    return found.join(seen, "window").select("id", "text_hash", "place", "size", place.eqNullSafe(F.col("first")).alias("kept"))
+    seen = found.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n")).where(~F.col("first").eqNullSafe(F.col("last"))).drop("last")
+    seen = keep(seen, "first-places")  # a table of its own, so that the join can split a common digest
+    texts = found.join(seen, "digest").where(~place.eqNullSafe(F.col("first"))).groupBy("id", "text_hash").agg(F.collect_set(F.struct("place", "digest", "n", "first")).alias("units"))
+    first = f"struct<id:{kind},text_hash:bigint,place:int>"
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, out = [], []
+            for i, units in enumerate(batch.column(2)):
+                units = sorted(units.as_py(), key=lambda u: u["place"])
+                for x, y in chains([u["place"] for u in units]):
+                    rows.append(i)
+                    out.append((units[x]["place"], units[y]["place"] + UNIT, units[x]["digest"], units[x]["n"], units[x]["first"], units[y]["first"]))
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            place_kind = batch.schema.field(2).type.value_type.field("first").type
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), place_kind, place_kind]
+            arrays = [pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), batch.column(1).take(pa.array(rows, pa.int64())), *arrays], names=["id", "text_hash", "begin", "end", "component", "n_copies", "first_left", "first_right"])
+
+    made = texts.mapInArrow(link, f"id {kind}, text_hash long, begin int, end int, component long, n_copies long, first_left {first}, first_right {first}")
+    return keep(made.withColumn("chain", F.monotonically_increasing_id()), "chains")
+
+
+def _contexts(docs: DataFrame, wanted: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
+    """For each wanted (key, text_hash, at, side): ``words`` (hashes, going away from ``at``) and ``chars`` (character offsets of the edge after 0, 1, ... of them, and last of the far edge of a paragraph that has its near edge at ``at``)."""
+    grouped = keep(wanted.groupBy("key", "text_hash").agg(F.collect_set(F.struct("at", "side")).alias("ends")), "passage-ends")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(grouped.select("key"), filter_mb))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            live = pa.array(bloom.passing(batch.column(0).to_numpy().view(np.uint64), shared.value))
+            yield batch.take(live)
 
+    texts = _identity(docs, id_col, text_col).where("text_hash is not null and text is not null").select(_key(F.col("id"), F.col("text_hash")).alias("key"), "text_hash", "text")
+    texts = texts.mapInArrow(near, "key long, text_hash long, text string").join(grouped, ["key", "text_hash"]).select("key", "text_hash", "text", "ends")
 
-def stretches(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """(first word, word after the last) of the stretches that windows (place, number of adjacent ones) cover."""
-    out: list[tuple[int, int]] = []
-    for p, n in sorted(places):
-        end = p + n + RUN + RUNS - 2
-        if out and p <= out[-1][1]:
-            out[-1] = (out[-1][0], max(end, out[-1][1]))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                text = batch.column(2)[i].as_py()
+                spans, parts = word_spans(text), text.lower().split()
+                ends = batch.column(3)[i].as_py()
+                hashes, chars = [], []
+                for e in ends:
+                    p = e["at"]
+                    if e["side"] == 0:
+                        lo = max(0, p - CONTEXT)
+                        hashes.append(word_hashes(parts[lo:p])[::-1].tobytes())
+                        chars.append(np.append(spans[lo : p + 1, 0][::-1], spans[min(p + UNIT, len(spans)) - 1, 1]).astype(np.int32).tobytes())
+                    else:
+                        hashes.append(word_hashes(parts[p : p + CONTEXT]).tobytes())
+                        chars.append(np.append(spans[p - 1 : p + CONTEXT, 1], spans[max(0, p - UNIT), 0]).astype(np.int32).tobytes())
+                row = pa.array([i] * len(ends), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array([e["at"] for e in ends], pa.int32()), pa.array([e["side"] for e in ends], pa.int32()), pa.array(hashes, pa.binary()), pa.array(chars, pa.binary())], names=["key", "text_hash", "at", "side", "words", "chars"])
+
+    return keep(texts.mapInArrow(cut, "key long, text_hash long, at int, side int, words binary, chars binary").dropDuplicates(["key", "text_hash", "at", "side"]), "passage-contexts")
+
+
+def _extended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """chain, side, words that agree beyond the end, and the character offsets of the new end in the copy and in the first occurrence, there of the paragraph's far edge too."""
+    for batch in batches:
+        more, here, there, far = [], [], [], []
+        for words, first, chars, first_chars in zip(*[batch.column(c).to_pylist() for c in ("words", "first_words", "chars", "first_chars")], strict=True):
+            a, b = np.frombuffer(words, np.uint64), np.frombuffer(first, np.uint64)
+            m = min(len(a), len(b))
+            differ = np.flatnonzero(a[:m] != b[:m])
+            more.append(int(differ[0]) if len(differ) else m)
+            here.append(int(np.frombuffer(chars, np.int32)[more[-1]]))
+            there.append(int(np.frombuffer(first_chars, np.int32)[more[-1]]))
+            far.append(int(np.frombuffer(first_chars, np.int32)[-1]))
+        yield pa.RecordBatch.from_arrays([batch.column("chain"), batch.column("side"), pa.array(more, pa.int32()), pa.array(here, pa.int32()), pa.array(there, pa.int32()), pa.array(far, pa.int32())], names=["chain", "side", "more", "char", "first_char", "far_char"])
+
+
+def merged(spans: list[dict]) -> list[tuple[int, int, int, int, int, int]]:
+    """(first word, word after the last, start, end, component, copies) of the stretches that overlapping or adjacent spans cover."""
+    out: list[list[int]] = []
+    for s in sorted(spans, key=lambda s: (s["a"], s["b"])):
+        if out and s["a"] <= out[-1][1]:
+            if s["b"] > out[-1][1]:
+                out[-1][1], out[-1][3] = s["b"], s["end"]
+            out[-1][4:] = [min(out[-1][4], s["component"]), max(out[-1][5], s["n_copies"])]
         else:
-            out.append((p, end))
-    return out
+            out.append([s["a"], s["b"], s["start"], s["end"], s["component"], s["n_copies"]])
+    return [tuple(x) for x in out]
 
 
-def passages(docs: DataFrame, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Stretches of 45 words or more made of windows that stand elsewhere too.
+def runs(docs: DataFrame, passage_words: int = 45, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Equal runs of ``passage_words`` words or more, wherever they begin and end.
 
-    Columns: ``id_col``, text_hash, start and length (characters), first_word, n_words, and kept (the windows' first
-    occurrence). Stretches that are kept may overlap others that are not.
+    Columns: ``id_col``, text_hash, start and length (characters), first_word, n_words, component (a number that copies
+    of one passage share), n_copies (places of the paragraph that begins it) and kept (the first occurrence).
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = _chained(docs, filter_mb, id_col, text_col)
+    kind = found.schema["id"].dataType.simpleString()
+    ends = []
+    for side, name, at, first_at in ((0, "left", "begin", "place"), (1, "right", "end", f"place + {UNIT}")):
+        ends.append(found.select("chain", "id", "text_hash", F.lit(side).alias("side"), F.col(at).alias("at"), F.col(f"first_{name}").alias("first"), F.expr(f"first_{name}.{first_at}").alias("first_at")))
+    ends = ends[0].unionByName(ends[1]).withColumn("key", _key(F.col("id"), F.col("text_hash"))).withColumn("first_key", _key(F.col("first.id"), F.col("first.text_hash")))
+    first = ends.select(F.col("first_key").alias("key"), F.col("first.text_hash").alias("text_hash"), F.col("first_at").alias("at"), "side").distinct()
+    near = _contexts(docs, ends.select("key", "text_hash", "at", "side").union(first), filter_mb, id_col, text_col)
+    own = ends.select("chain", "side", "key", "text_hash", "at", "first_key", F.col("first.text_hash").alias("first_hash"), "first_at").join(near, ["key", "text_hash", "at", "side"])
+    other = near.select(F.col("key").alias("first_key"), F.col("text_hash").alias("first_hash"), F.col("at").alias("first_at"), "side", F.col("words").alias("first_words"), F.col("chars").alias("first_chars"))
+    both = own.join(other, ["first_key", "first_hash", "first_at", "side"]).select("chain", "side", "words", "chars", "first_words", "first_chars")
+    grown = both.mapInArrow(_extended, "chain long, side int, more int, char int, first_char int, far_char int")
+    at = lambda side, col: F.max(F.when(F.col("side") == side, F.col(col)))
+    grown = grown.groupBy("chain").agg(*[at(i, c).alias(f"{c}_{n}") for i, n in ((0, "left"), (1, "right")) for c in ("more", "char", "first_char", "far_char")])
+    full = found.join(grown, "chain").withColumn("a", F.col("begin") - F.col("more_left")).withColumn("b", F.col("end") + F.col("more_right")).where(F.col("b") - F.col("a") >= passage_words)
+    full = keep(full, "passages")
+    span = lambda a, b, start, end: F.struct(a.alias("a"), b.alias("b"), start.alias("start"), end.alias("end"), "component", "n_copies")
+    copies = full.select("id", "text_hash", span(F.col("a"), F.col("b"), F.col("char_left"), F.col("char_right")).alias("span"), F.lit(False).alias("kept"))
+    # the first occurrence lies in one piece where both ends point to one text at the same distance; else the pieces at the ends are named
+    left, right, size = F.col("first_left"), F.col("first_right"), F.col("end") - F.col("begin")
+    whole = left["id"].eqNullSafe(right["id"]) & left["text_hash"].eqNullSafe(right["text_hash"]) & (right["place"] + UNIT - left["place"]).eqNullSafe(size)
+    at_left, at_right = left["place"] - F.col("more_left"), right["place"] + UNIT + F.col("more_right")
+    pieces = [
+        (whole, left, span(at_left, at_right, F.col("first_char_left"), F.col("first_char_right"))),
+        (~whole, left, span(at_left, left["place"] + UNIT, F.col("first_char_left"), F.col("far_char_left"))),
+        (~whole, right, span(right["place"], at_right, F.col("far_char_right"), F.col("first_char_right"))),
+    ]
+    stay = [full.where(cond).select(first["id"].alias("id"), first["text_hash"].alias("text_hash"), piece.alias("span"), F.lit(True).alias("kept")) for cond, first, piece in pieces]
+    rows = copies.union(stay[0]).union(stay[1]).union(stay[2]).groupBy("id", "text_hash", "kept").agg(F.collect_set("span").alias("spans"))
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                spans = [m.span() for m in re.finditer(r"\S+", batch.column(2)[i].as_py())]
-                found = stretches([(x["place"], x["size"]) for x in batch.column(4)[i].as_py()])
-                row = pa.array([i] * len(found))
-                cols = [[spans[a][0] for a, _ in found], [spans[b - 1][1] - spans[a][0] for a, b in found], [a for a, _ in found], [b - a for a, b in found]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), *[pa.array(c, pa.int32()) for c in cols], batch.column(3).take(row)], names=[id_col, "text_hash", "start", "length", "first_word", "n_words", "kept"])
+            row, out = [], []
+            for i, spans in enumerate(batch.column(3)):
+                for a, b, start, end, component, n in merged(spans.as_py()):
+                    row.append(i)
+                    out.append((start, end - start, a, b - a, component, n))
+            cols = list(zip(*out, strict=True)) or [()] * 6
+            which = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(which), batch.column(1).take(which), *[pa.array(c, t) for c, t in zip(cols, [pa.int32()] * 4 + [pa.int64()] * 2, strict=True)], batch.column(2).take(which)], names=[id_col, "text_hash", "start", "length", "first_word", "n_words", "component", "n_copies", "kept"])
+
+    return rows.mapInArrow(join, f"`{id_col}` {kind}, text_hash long, start int, length int, first_word int, n_words int, component long, n_copies long, kept boolean")
+
 
-    found = windows(docs, filter_mb, id_col, text_col).groupBy(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), "kept").agg(F.collect_set(F.struct("place", "size")).alias("places"))
-    texts = _identity(docs, id_col, text_col).join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")))
-    texts = texts.dropDuplicates(["id", "text_hash", "kept"]).select("id", "text_hash", "text", "kept", "places")
-    return texts.mapInArrow(run, f"`{id_col}` {texts.schema['id'].dataType.simpleString()}, text_hash long, start int, length int, first_word int, n_words int, kept boolean")
+def repeated(docs: DataFrame, filter_mb: float = 32, id_col: str = "doc_id", text_col: str = "text", passage_words: int = 45, **options) -> DataFrame:
+    """Both kinds: the columns of ``copied`` with ``kind`` ("line" or "run"); a run has no line number."""
+    lines = copied(docs, passage_words=passage_words, filter_mb=filter_mb, id_col=id_col, text_col=text_col, **options)
+    words = runs(docs, passage_words, filter_mb, id_col, text_col).withColumn("line", F.lit(None).cast("int"))
+    names = [id_col, "text_hash", "line", "start", "length", "n_words", "component", "n_copies", "kept"]
+    return lines.select(F.lit("line").alias("kind"), *names).unionByName(words.select(F.lit("run").alias("kind"), *names))
 
 
-def remaining(text: str, lines: set[int], places: list[tuple[int, int]]) -> str:
-    """``text`` without these lines and without the words under windows at these places; lines that lose all their words go."""
+def remaining(text: str, lines: set[int], spans: list[tuple[int, int]]) -> str:
+    """``text`` without these lines and without the words of these spans (first, number); lines that lose all their words go."""
     out, before = [], 0
     gone = np.zeros(len(text.split()), dtype=bool)
-    for a, b in stretches(places):
-        gone[a:b] = True
+    for a, n in spans:
+        gone[a : a + n] = True
     for i, line in enumerate(text.split("\n")):
         n = len(line.split())
         cut = gone[before : before + n]
@@ -378,23 +516,28 @@ def remaining(text: str, lines: set[int], places: list[tuple[int, int]]) -> str:
         if i in lines or n and cut.all():
             continue
         if cut.any():
-            spans = [m.span() for m in re.finditer(r"\S+", line)]
+            spots = [m.span() for m in re.finditer(r"\S+", line)]
             edge = np.flatnonzero(np.diff(np.concatenate([[True], cut, [True]]).astype(np.int8))).tolist()
-            line = " ".join(line[spans[a][0] : spans[b - 1][1]] for a, b in zip(edge[::2], edge[1::2], strict=True))
+            line = " ".join(line[spots[a][0] : spots[b - 1][1]] for a, b in zip(edge[::2], edge[1::2], strict=True))
         out.append(line)
     return "\n".join(out)
 
 
 @pandas_udf(StringType())
-def _remaining(text: pd.Series, lines: pd.Series, places: pd.Series) -> pd.Series:
-    return pd.Series([t if x is None or t is None else remaining(t, set(x.tolist()), [(y["place"], y["size"]) for y in p]) for t, x, p in zip(text, lines, places, strict=True)], dtype=object)
-
-
-def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: float = 32, **options) -> DataFrame:
-    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence: its lines (``copied``) and its words (``passages``)."""
-    lines = copied(docs, id_col=id_col, text_col=text_col, filter_mb=filter_mb, **options).where("not kept").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "line", F.lit(None).cast("struct<place:int,size:int>").alias("place"))
-    words = windows(docs, filter_mb, id_col, text_col).where("not kept").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.lit(None).cast("int").alias("line"), F.struct("place", "size").alias("place"))
-    gone = lines.unionByName(words).groupBy("_id", "_hash").agg(F.collect_set("line").alias("_lines"), F.collect_set("place").alias("_places"))
-    here = F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(f"`{text_col}`").cast("string")) == F.col("_hash"))
-    left = _remaining(F.col(f"`{text_col}`").cast("string"), F.col("_lines"), F.col("_places"))
-    return docs.join(gone, here, "left").withColumn(text_col, left).select(*[F.col(f"`{c}`") for c in docs.columns])
+def _remaining(text: pd.Series, lines: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([t if x is None or t is None else remaining(t, set(x.tolist()), [(y["first_word"], y["n_words"]) for y in p]) for t, x, p in zip(text, lines, spans, strict=True)], dtype=object)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: float = 32, passage_words: int = 45, **options) -> DataFrame:
+    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence: its lines (``copied``) and its words (``runs``)."""
+    lines = copied(docs, id_col=id_col, text_col=text_col, filter_mb=filter_mb, passage_words=passage_words, **options).where("not kept")
+    lines = lines.select(F.col(id_col).alias("id"), "text_hash", "line", F.lit(None).cast("struct<first_word:int,n_words:int>").alias("span"))
+    words = runs(docs, passage_words, filter_mb, id_col, text_col).where("not kept")
+    words = words.select(F.col(id_col).alias("id"), "text_hash", F.lit(None).cast("int").alias("line"), F.struct("first_word", "n_words").alias("span"))
+    gone = lines.unionByName(words).groupBy("id", "text_hash").agg(F.collect_set("line").alias("lines"), F.collect_set("span").alias("spans"))
+    text = F.col(f"row.`{text_col}`").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("id", F.col(f"row.`{id_col}`")).withColumn("text_hash", F.xxhash64(text))
+    here = rows["id"].eqNullSafe(gone["id"]) & (rows["text_hash"] == gone["text_hash"])
+    left = rows.join(gone, here, "left").select("row", _remaining(text, F.col("lines"), F.col("spans")).alias("text"))
+    return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

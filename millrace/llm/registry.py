@@ -44,7 +44,7 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, p_insult, p_contempt, p_toxic, rejected of every document."""
+    """doc_id, p_low_quality, p_kind_1, p_kind_2, p_toxic, rejected of every document."""
     return toxicity.detect(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
@@ -56,14 +56,8 @@ def op10_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
 
 @query
 def op6_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph of a repeated passage: doc_id, line, place, component, number of copies, and whether it is the one kept."""
-    return paragraphs.copied(table(spark, sf_dir, "documents")).drop("text_hash")
-
-
-@query
-def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every stretch of 45 equal words or more that stands in two places, wherever it begins: doc_id, place, size, and whether it is the one kept."""
-    return paragraphs.passages(table(spark, sf_dir, "documents")).drop("text_hash")
+    """Every paragraph of a repeated passage (kind "line") and every repeated run of words (kind "run"): doc_id, place, component, number of copies, and whether it is the one kept."""
+    return paragraphs.repeated(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 #: (host, path, verdict) of the contract's rules, and the hosts whose pages are listed (fixed values).
