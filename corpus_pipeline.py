@@ -1,7 +1,14 @@
 """Toxicity, near-duplicate, repeated-passage and benchmark filters, then packing, over ``documents``.
 
 Every stage works on all rows its predecessor kept, and all but the last return the columns of
-``documents``. Odd input is dealt with as the operators' modules say; an empty table passes through.
+``documents``. Odd input has these results:
+
+* Null or empty texts, and texts without words, are never toxic, repeated or leaked; as near duplicates they are
+  copies of each other, so one row of them stays. Packing gives each its end token.
+* A row without an id is judged like any other; as a near duplicate it is the first of its group. Rows equal in id
+  and text are one near duplicate, so one stays.
+* Extra columns, whatever their names, pass through the first four stages unchanged; packing returns its own columns.
+* Texts of any length are read whole. An empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -15,10 +22,7 @@ from millrace.plans.scratch import keep
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain, learnt from ``labels`` on these documents, does not reject."""
-    labels = registry.table(spark, sf_dir, "labels")
-    chain = toxicity.learn(docs, labels)
-    names = [*toxicity.SEEDS, "toxic"]
-    return toxicity.score(docs, chain, names, keep_columns=True).where("not rejected").select(*docs.columns)
+    return toxicity.accepted(docs, toxicity.learn(docs, registry.table(spark, sf_dir, "labels")))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +31,14 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; a repeated passage stays in the first that has it. ``n_chars`` follows the text."""
-    return paragraphs.without_copies(docs).withColumn("n_chars", F.length("text").cast("long"))
+    """All documents; a repeated passage stays in the first that has it. ``n_chars``, if there, follows the text."""
+    left = paragraphs.without_copies(docs)
+    return left.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of ``benchmark``. Texts are told apart by hash: equal ones share a verdict."""
-    marked = docs.withColumn("_text_hash", F.xxhash64("text"))
-    found = decontaminate.contaminated(marked, registry.table(spark, sf_dir, "benchmark"), row_col="_text_hash")
-    leaks = keep(found.select("_text_hash").distinct(), "leaks")
-    return marked.join(leaks, "_text_hash", "left_anti").select(*docs.columns)
+    """Documents without a passage of ``benchmark``."""
+    return decontaminate.without_leaks(docs, registry.table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
