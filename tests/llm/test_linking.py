@@ -54,8 +54,9 @@ def test_no_close_fingerprint_is_lost(spark):
     signed = [x - (1 << 64) if x >> 63 else x for x in fps]
     at = {x: i for i, x in enumerate(signed)}
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
-    for tile in (2048, 5):
-        edges = [(at[r.a], at[r.b]) for r in simhash.linked(df, 4, tile=tile).collect()]
+    assert [simhash.segments_for(n, 4) for n in (0, 1 << 20, 1 << 24, 1 << 31, 1 << 36, 1 << 50)] == [5, 5, 6, 6, 7, 8]
+    for tile, cut in ((2048, 5), (5, 5), (2048, 6), (2048, 7), (64, 8)):
+        edges = [(at[r.a], at[r.b]) for r in simhash.linked(df, 4, tile=tile, cut=cut).collect()]
         assert all((fps[a] ^ fps[b]).bit_count() <= 4 for a, b in edges)
         assert union(len(fps), edges) == union(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
 
@@ -148,11 +149,37 @@ def brute_paragraphs(rows, least=5, passage=45):
 def test_op6_against_brute_force(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()
     got = registry.QUERIES["op6_paragraph_dedup"](spark, sf_dir).collect()
-    assert {(r.doc_id, r.line) for r in got} == brute_paragraphs(rows) and got
-    firsts = collections.Counter(r.component for r in got if r.kept)
+    lines = [r for r in got if r.kind == "line"]
+    assert {(r.doc_id, r.line) for r in lines} == brute_paragraphs(rows) and lines
+    firsts = collections.Counter(r.component for r in lines if r.kept)
     assert max(firsts.values()) == 1
 
 
+def grams(text, n=50):
+    w = (text or "").lower().split()
+    return {tuple(w[p : p + n]) for p in range(len(w) - n + 1)}
+
+
+def test_op6_finds_every_repeated_run(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    times = collections.Counter(g for t in text.values() for g in grams(t))
+    shared = {d for d, t in text.items() if any(times[g] > 1 for g in grams(t))}
+    got = [r for r in registry.QUERIES["op6_paragraph_dedup"](spark, sf_dir).collect() if r.kind == "run"]
+    assert shared and shared <= {r.doc_id for r in got}
+    least = collections.Counter(g for t in text.values() for g in grams(t, 45))
+    for r in got:
+        piece = text[r.doc_id][r.start : r.start + r.length]
+        assert len(piece.split()) == r.n_words
+        assert r.kept or r.n_words >= 45
+    left = {r.doc_id: r.text for r in paragraphs.without_copies(docs).collect()}
+    times = collections.Counter(g for t in left.values() for g in grams(t))
+    assert left.keys() == text.keys() and max(times.values()) == 1
+    lines = {d for d, _ in brute_paragraphs(docs.collect())}
+    alone = [d for d, t in text.items() if d not in lines and len(grams(t, 45)) == len((t or "").split()) - 44 and all(least[g] == 1 for g in grams(t, 45))]
+    assert alone and all(left[d] == text[d] for d in alone)
+
+
 def test_op6_odd_input(spark):
     line = " ".join(f"p{i}" for i in range(60))
     rows = [(1, None, "a"), (2, "", "a"), (3, f"x\n{line}\ny", "a"), (4, line.upper(), "a"), (None, f"{line}\nshort", "a"), (6, f"{line}\n{line}", "a"), (7, "a b c d e f\ncommon line of seven words here now", "a"), (8, "common line of seven words here now", "a")]
@@ -188,21 +215,36 @@ def test_passages_that_no_whole_line_shows(spark):
         if d != 30:
             found[d] = {x for p in range(len(w) - 44) if len(seen[tuple(w[p : p + 45])]) > 1 for x in range(p, p + 45)}
     got = collections.defaultdict(set)
-    for r in paragraphs.passages(df).collect():
+    for r in paragraphs.runs(df).collect():
         text = dict(rows)[r.doc_id]
         assert text[r.start : r.start + r.length].split() == text.split()[r.first_word : r.first_word + r.n_words]
         assert r.kept == (r.doc_id in (0, 10, 20)) or r.doc_id == 30
+        if r.doc_id == 30 and not r.kept:  # one paragraph of its first words stays
+            assert (r.first_word, r.n_words) == (paragraphs.UNIT, 100 - paragraphs.UNIT)
         got[r.doc_id] |= set(range(r.first_word, r.first_word + r.n_words))
-    assert got.pop(30) == set(range(90)) and got == {d: x for d, x in found.items() if x} and len(got) == 9
+    assert max(got.pop(30)) == 99 and got == {d: x for d, x in found.items() if x} and len(got) == 9
     left = {r.doc_id: r.text for r in paragraphs.without_copies(df).collect()}
     for first, step in ((0, inside), (10, short), (20, across)):
         assert left[first] == dict(rows)[first]
         for d in (first + 1, first + 2):
             assert left[d].split() == [w for k, w in enumerate(dict(rows)[d].split()) if k not in found[d]] and len(left[d].split()) == len(dict(rows)[d].split()) - 60
-    assert left[31] == join(inside[:44]) and left[40] is None and left[41] == "" and paragraphs.passages(df.limit(0)).count() == 0
+    assert left[31] == join(inside[:44]) and left[40] is None and left[41] == "" and paragraphs.runs(df.limit(0)).count() == 0
+
+
+def test_anchors_are_those_of_every_window():
+    rng = np.random.default_rng(2)
+    for top in (2, 9, 1 << 40):
+        h = rng.integers(0, top, 400).astype(np.uint64) << np.uint64(10)  # the lowest bits do not count
+        at = paragraphs.anchors(h, 23)
+        assert np.diff(at).max() <= 23 and at[0] < 23 and at[-1] >= 400 - 23
+        for p in range(400 - 22):
+            assert any(p <= x < p + 23 and h[x] == h[p : p + 23].min() for x in at.tolist())
+    assert len(paragraphs.anchors(np.zeros(22, np.uint64), 23)) == 0 and paragraphs.anchors(np.zeros(100, np.uint64), 23).tolist() == [22, 45, 68, 91]
 
 
 def test_key_plan():
+    with pytest.raises(ValueError):
+        simhash.key_plan(1 << 40, 0.1, 0.99)
     bits, keys, radius = simhash.key_plan(200, 0.8, 0.995)
     assert bits == 10 and 30 < keys < 60 and 25 < radius < 40
     assert simhash.shared_key_chance(bits, keys, 0.151, radius) >= 0.99
@@ -240,13 +282,29 @@ def test_op4_recall_and_components(spark):
 
 def test_op4_odd_input(spark):
     one = [1.0, 0.0, 0.0]
-    rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 0.0]), (5, [float("nan"), 1.0, 0.0]), (6, [float("inf"), 1.0, 0.0]), (10, one), (9, [2.0, 0.0, 0.0]), (11, one), (11, one), (None, one), (12, [1.0, 0.0]), (13, [0.0, 1.0, 0.0])]
+    rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, None, 0.0]), (5, [float("nan"), 1.0, 0.0]), (6, [float("inf"), 1.0, 0.0]), (10, one), (9, [2.0, 0.0, 0.0]), (11, one), (11, one), (None, one), (12, [1.0, 0.0]), (13, [0.0, 1.0, 0.0]), (20, [1e200, -1e200, 1e199]), (21, [-3e-200, 3e-200, -3e-201]), (22, [5e-200, -5e-200, 5e-201])]
     got = sorted(((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in hnsw.near_duplicates(vectors(spark, rows), least_shards=2).collect()), key=str)
-    want = [(str(i), 0, i, True) for i in (1, 2, 3, 4, 5, 6, 12, 13)] + [("9", 4, 9, True), ("10", 4, 9, False), ("11", 4, 9, False), ("11", 4, 9, False), ("None", 4, 9, False)]
+    want = [(str(i), 0, i, True) for i in (1, 2, 3, 4, 5, 6, 12, 13, 21)] + [("20", 1, 20, True), ("22", 1, 20, False), ("9", 4, 9, True), ("10", 4, 9, False), ("11", 4, 9, False), ("11", 4, 9, False), ("None", 4, 9, False)]
     assert got == sorted(want, key=str)
     assert hnsw.near_duplicates(vectors(spark, rows).limit(0)).count() == 0
 
 
+def test_op4_against_brute_force(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    v = np.array([r.embedding for r in rows], dtype=np.float64)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    sim = v @ v.T
+    np.fill_diagonal(sim, 0)
+    parts = union(len(v), list(zip(*np.nonzero(np.triu(sim >= 0.95)), strict=True)))
+    got = {r.vec_id: r for r in registry.QUERIES["op4_hnsw_near_dedup"](spark, sf).collect()}
+    found = np.array([got[r.vec_id].n_links for r in rows])
+    links = (sim >= 0.95).sum(1)
+    assert (found <= links).all() and found.sum() >= 0.98 * links.sum()
+    assert np.mean([got[r.vec_id].component_id == rows[p].vec_id for r, p in zip(rows, parts, strict=True)]) >= 0.98
+    assert {r.recall for r in got.values()} == {got[rows[0].vec_id].recall} and got[rows[0].vec_id].recall >= 0.98
+
+
 @pytest.mark.parametrize("n", [1, 2, 70, 700])
 def test_graph_survives_a_dump(n):
     v = hnsw.unit_rows(np.random.default_rng(n).normal(size=(n, 8)))

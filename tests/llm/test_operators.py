@@ -54,6 +54,72 @@ def test_license_odd_input(spark, license_model):
     assert license_scan.common("a b c d".split(), "x a c y d".split()) == 3
 
 
+def plain_common(a, b):
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        rows.append([0])
+        for j, y in enumerate(b):
+            rows[-1].append(rows[-2][j] + 1 if x == y else max(rows[-2][j + 1], rows[-1][j]))
+    return rows[-1][-1]
+
+
+def plain_notices(model, text):
+    """All lines, and all runs of lines, by the definition."""
+    lines = [license_scan.words(x) for x in text.split("\n")]
+    own = {(f, i): t for f, i, t in model.templates}
+    most = 2 * max(map(len, own.values()))
+
+    def judge(k, end):
+        parts = [w for x in lines[k:end] for w in x]
+        gram = {" ".join(parts[i : i + n]) for n in (1, 2, 3) for i in range(len(parts) - n + 1)}
+        seen = [model.known[g] for g in gram if g in model.known]
+        if not seen:
+            return None
+        z = (model.bias + sum(model.weights[i].astype(float) for i in seen)) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        family = model.families[int(p.argmax())]
+        if family == "unknown" or p.max() < 0.5:
+            return None
+        share, number = max(((plain_common(t, parts) / len(t), -i) for (f, i), t in own.items() if f == family), default=(0, 0))
+        return k, end, family, -number, round(share, 9), len(parts)
+
+    single = {k: r for k in range(len(lines)) if (r := judge(k, k + 1))}
+    wide = []
+    for k in range(len(lines)):
+        starts = any(a == x and b == y for t in own.values() for x, y in zip(t, t[1:]) for a, b in zip(lines[k], lines[k][1:]))
+        for end in range(k + 2, len(lines) + 1):
+            if not starts or not all(lines[k:end]) or sum(map(len, lines[k:end])) > most:
+                break
+            r = judge(k, end)
+            if r and r[4] >= 0.8 and r[5] <= 2 * len(own[r[2], r[3]]) and all(single[x][4] < r[4] for x in range(k, end) if x in single):
+                wide.append(r)
+    out = []
+    for r in sorted(wide, key=lambda r: (-r[4], r[1] - r[0], r[0])):
+        if all(r[1] <= o[0] or o[1] <= r[0] for o in out):
+            out.append(r)
+    return sorted(out + [r for k, r in single.items() if not any(o[0] <= k < o[1] for o in out)])
+
+
+def test_op1_against_brute_force(spark, sf_dir, license_model):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = collections.defaultdict(list)
+    for r in license_scan.scan(docs, license_model).collect():
+        got[r.doc_id].append((r.paragraph, r.paragraph + r.lines, r.family, r.template, round(r.share, 9)))
+    for r in docs.collect():
+        assert sorted(got[r.doc_id]) == [x[:5] for x in plain_notices(license_model, r.text)]
+    assert got
+
+
+def test_wrapped_notices(spark, license_model):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and associated documentation files, to deal\nin the Software without restriction."
+    gpl = "// This program is free software: you can redistribute it and/or\n// modify it under the terms of the GNU General Public License as\n// published by the Free Software Foundation."
+    texts = [mit, f"some text\n\n{mit}\n\nmore text", f"a line before\n{gpl}\na line after", mit.replace("\n", "\n\n"), f"{gpl}\n\n{mit}"]
+    rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"), license_model).where("confirmed").collect()
+    assert {(r.doc_id, r.family, r.paragraph, r.lines) for r in rows} == {(0, "mit", 0, 3), (1, "mit", 2, 3), (2, "gpl", 1, 3), (4, "gpl", 0, 3), (4, "mit", 4, 3)}
+    for r in rows:
+        assert texts[r.doc_id][r.start : r.start + r.length] == (mit if r.family == "mit" else gpl)
+
+
 def test_op1_finds_every_notice(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     marks = ("Licensed under", "All rights reserved", "Released under", "is licensed under")
@@ -83,13 +149,50 @@ def test_chain_feeds_earlier_probabilities():
 
 
 def test_toxicity_odd_input(spark):
-    labels = spark.createDataFrame([(5, 1), (5, 0), (1, 1), (None, 1), (7, None), (99, 1), (2, 0), (7, 0)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(5, 1, 1), (5, 0, 1), (1, 1, 0), (None, 1, 1), (7, None, 1), (99, 1, 1), (2, 0, None), (7, 0, 0)], "doc_id long, toxic int, quality int")
     rows = toxicity.detect(odd(spark), labels).collect()
     assert len(rows) == len(ODD_TEXT) and not any(r.rejected for r in rows if r.doc_id in (1, 2, 3, 4))
     assert not any(r.rejected for r in toxicity.detect(odd(spark), labels.limit(0)).collect())
     assert toxicity.detect(odd(spark).limit(0), labels).count() == 0
-    same = toxicity.score(odd(spark), toxicity.Chain(18), ["insult", "contempt", "toxic"], keep_columns=True)
-    assert same.columns[: len(odd(spark).columns)] == odd(spark).columns
+    chain = toxicity.learn(odd(spark), labels.drop("quality"))
+    assert chain.names == list(toxicity.CATEGORIES)
+    same = toxicity.accepted(odd(spark), toxicity.Chain(18))
+    assert same.columns == odd(spark).columns and sorted(map(str, same.collect())) == sorted(map(str, odd(spark).collect()))
+
+
+def plain_chain(rows, targets, folds=3):
+    """The chain by lists of rows: earlier probabilities are those of models that have not seen the row."""
+    n = len(rows)
+    before = np.zeros((n, 0))
+    for y in targets:
+        out = np.zeros(n)
+        for i in range(n):
+            seen = [j for j in range(n) if j % folds != i % folds]
+            link = toxicity.fit("x", toxicity.Rows.of([rows[j] for j in seen]), before[seen], y[seen], 64)
+            out[i] = link.score(toxicity.Rows.of([rows[i]]), before[i : i + 1])[0]
+        before = np.column_stack([before, out])
+    links = [toxicity.fit("x", toxicity.Rows.of(rows), before[:, :k], y, 64) for k, y in enumerate(targets)]
+    return before, links
+
+
+def test_chain_equals_the_plain_one():
+    rng = np.random.default_rng(4)
+    rows = [np.sort(rng.choice(64, rng.integers(3, 12), replace=False)).astype(np.int64) for _ in range(60)]
+    a = np.array([float(5 in r or 9 in r) for r in rows])
+    b = np.array([float(5 in r and 20 not in r) for r in rows])
+    chain = toxicity.train(toxicity.Rows.of(rows), {"a": a, "b": b}, 6)
+    before, links = plain_chain(rows, [a, b])
+    for own, plain in zip(chain.links, links, strict=True):
+        assert own.weights == pytest.approx(plain.weights) and own.chain == pytest.approx(plain.chain) and own.bias == pytest.approx(plain.bias)
+    assert chain.threshold == toxicity.best_threshold(before[:, -1], b.astype(bool))
+
+
+def test_kinds_part_the_toxic_rows():
+    rows = toxicity.Rows.of([np.array(x) for x in [[1, 2, 9], [1, 2, 8], [1, 2], [4, 5, 9], [4, 5], [4, 5, 8]] * 5 + [[8, 9], [9], [8]] * 20])
+    y = np.array([1.0] * 30 + [0.0] * 60)
+    got = toxicity.kinds(rows, y, 16)
+    assert got[:30].sum(axis=1).tolist() == [1] * 30 and got[30:].sum() == 0
+    assert [row.tolist() for row in got[:6]] == [got[0].tolist()] * 3 + [got[3].tolist()] * 3 and got[0].tolist() != got[3].tolist()
 
 
 # Packing
@@ -98,7 +201,6 @@ def test_toxicity_odd_input(spark):
 def test_op5_is_a_round_trip(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     tokenizer = Tokenizer.from_file(registry.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     want = {r.doc_id: [*tokenizer.encode(r.text, add_special_tokens=False).ids, 2] for r in docs.collect()}
     rows = registry.QUERIES["op5_best_fit_packing"](spark, sf_dir).collect()
     for r in rows:
@@ -121,7 +223,6 @@ def test_op5_is_a_round_trip(spark, sf_dir):
 @pytest.mark.parametrize("text", ["", " ", "  a  b ", " a", "a \n b", "x\n\n y  z", "<|endoftext|> hi", "\x1c \x1d a", "日本 語", "don't  it's", "é ́a", "\t\t a", "a\u00a0 b", "x" * 5000, "the the the"])
 def test_encoder_equals_the_tokenizer(text):
     tokenizer = Tokenizer.from_file(registry.tokenizer_path())
-    tokenizer.encode_special_tokens = True
     encode = packing.Encoder(registry.tokenizer_path(), remembered=2)
     for _ in range(2):
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
@@ -161,14 +262,13 @@ def test_packing_odd_input(spark):
 def plain_rate(model, text, k):
     """Phrases by looking matches up in the sample itself."""
     sample, n = model[k], 0
-    for lo in range(0, len(text), language_id.BLOCK):
-        part, i = text[lo : lo + language_id.BLOCK], 0
-        while i < len(part):
-            m = 0
-            while i + m < len(part) and part[i : i + m + 1] in sample:
-                m += 1
-            n += 1
-            i += m + 1
+    i = 0
+    while i < len(text):
+        m = 0
+        while i + m < len(text) and text[i : i + m + 1] in sample:
+            m += 1
+        n += 1
+        i += m + 1
     return n * np.log2(max(2, len(sample))) / len(text)
 
 
@@ -181,6 +281,25 @@ def test_parsing_equals_the_plain_one():
     assert got == pytest.approx(np.array([[plain_rate(samples, t, k) for k in "ab"] for t in texts]))
 
 
+@pytest.mark.parametrize(("block", "at_once"), [(7, 50), (64, 1000), (2048, 1 << 22)])
+def test_parsing_does_not_depend_on_blocks(monkeypatch, block, at_once):
+    monkeypatch.setattr(language_id, "BLOCK", block)
+    monkeypatch.setattr(language_id, "AT_ONCE", at_once)
+    rng = np.random.default_rng(1)
+    pick = lambda n, top: "".join(chr(0x4E00 + x) for x in rng.integers(0, top, n))
+    samples = {"a": pick(900, 400), "b": "ab" * 40 + pick(300, 5)}
+    texts = ["ab" * 200, samples["a"][100:700], pick(500, 6), pick(300, 800), samples["b"] + samples["a"], "x"]
+    got = language_id.build(samples).rates(texts)
+    assert got == pytest.approx(np.array([[plain_rate(samples, t, k) for k in "ab"] for t in texts]))
+
+
+def test_languages_of_many_letters():
+    samples = {"x": "".join(chr(0x4E00 + i) for i in range(400)), "y": "".join(chr(0x5E00 + i) for i in range(400))}
+    rates = language_id.build(samples).rates([samples["x"], samples["y"]])
+    assert rates[0, 0] < rates[0, 1] / 100 and rates[1, 1] < rates[1, 0] / 100
+    assert language_id.normalised("²½ ①") == "" and language_id.normalised("Ä²b 3ç_d") == "ä b ç d"
+
+
 def test_op7_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.01"
     langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
@@ -335,3 +454,40 @@ def test_op10_finds_every_copied_item(spark):
     want = {(d, i) for d, t in docs.items() for i, x in items.items() if f" {x} " in t}
     got = {(r.doc_id, r.item_id) for r in registry.QUERIES["op10_spaced_seed_decontamination"](spark, sf).collect()}
     assert want <= got and want and len(got - want) <= 0.05 * len(want) + 2
+
+
+def test_op10_long_and_short_items(spark):
+    rng = np.random.default_rng(9)
+    pick = lambda n: [f"v{x}" for x in rng.integers(0, 50_000, n)]
+    long, same = pick(50_000), ["again"] * 300
+    short = [pick(n) for n in (7, 11, 12, 15, 16)]
+    docs = [(0, long[20_000:20_060]), (1, pick(20) + long + pick(20)), (2, pick(30) + same[:200]), (3, pick(100))]
+    want = {(0, 0), (1, 0), (2, 1)}
+    for k, part in enumerate(short):
+        changed = list(part)
+        for j in range(1, 1 + (0, 0, 0, 3, 3)[k]):
+            changed[len(part) * j // 4] = "changed"
+        docs.append((10 + k, pick(40) + changed + pick(40)))
+        want.add((10 + k, 2 + k))
+    items = [(i, " ".join(w)) for i, w in enumerate([long, same, *short])]
+    df = clashing(spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string"))
+    found = decontaminate.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want
+    assert [(r.text_at, r.item_at, r.n_equal) for r in found if (r.doc_id, r.item_id) == (0, 0)] == [(0, 20_000, 60)]
+
+
+def test_op10_recall_of_substituted_items(spark, sf_dir):
+    items = {r.item_id: r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    rng = np.random.default_rng(2)
+    docs, want = [], set()
+    for i, t in items.items():
+        w = t.split()
+        for k in range(3):
+            v = list(w)
+            for j in rng.choice(len(v), int(len(v) * 0.15), replace=False):
+                v[j] = "other"
+            docs.append((len(docs), " ".join(["lead"] * 20 + v + ["tail"] * 20)))
+            want.add((len(docs) - 1, i))
+    got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = {(r.doc_id, r.item_id) for r in got.collect()}
+    assert len(want & found) >= 0.98 * len(want)
