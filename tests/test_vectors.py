@@ -1,3 +1,5 @@
+import difflib
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -185,6 +187,7 @@ def test_close_texts_are_those_of_the_plain_ratio():
     for t in (0.3, 0.7, 0.9):
         want = [(i, j) for j in range(len(texts)) for i in range(j) if C.sequence_ratio(texts[i], texts[j]) >= t]
         assert sorted(C.close_texts(texts, [-1] * len(texts), t)) == sorted(want) and want
+        assert all(C.ratio_reaches(a, b, t) == (difflib.SequenceMatcher(None, a, b).ratio() >= t) for a in texts[:9] + texts[-3:] for b in texts[:9] + texts[-3:])
         half = [k % 2 for k in range(len(texts))]
         assert sorted(C.close_texts(texts, half, t)) == sorted(p for p in want if half[p[0]] != half[p[1]])
 
