@@ -657,7 +657,13 @@ def word_frequency_table(spark, sf_dir):
 
 # Whole flow
 
-@query()
+@query("WITH" + CHUNKS_SQL + r""",
+n AS (SELECT CAST(doc_id AS VARCHAR) AS source_document, chunk_index, text, left(regexp_replace(split_part(text, '. ', 1), '^\s+|\s+$', '', 'g'), 100) AS head FROM chunks),
+b AS (SELECT *, CASE WHEN head = '' THEN 'Untitled' ELSE head END AS title FROM n),
+f AS (SELECT source_document, chunk_index, text, regexp_replace(title, '^\s+|\s+$', '', 'g') AS name, 'What is said about ' || title || '?' AS critical_question, regexp_replace(text, '^\s+|\s+$', '', 'g') AS answer FROM b),
+i AS (SELECT *, 'ib_' || substr(sha256(name || critical_question || answer), 1, 16) AS id FROM f)
+SELECT id, name, critical_question, source_document, chunk_index AS source_chunk_index, substr(sha256(text), 1, 16) AS source_chunk_hash
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY source_document, chunk_index) AS r FROM i) WHERE r = 1""")
 def ingest_blocks(spark, sf_dir):
     """Documents to blocks by the offline extractor, first of each id."""
     blocks = extract_blocks(table(spark, sf_dir, "documents"))
