@@ -36,11 +36,24 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def wire(df: DataFrame, prefix: str = "block", kind: str = "original") -> DataFrame:
-    """Nested form in which blocks travel; ``prefix`` begins the names that a service gives them."""
+def wire(df: DataFrame, prefix: str = "block", kind: str = "original", text_name: str = "textResult") -> DataFrame:
+    """Nested form in which blocks travel; ``prefix`` begins the names that a service gives them, ``text_name`` is that of the text's fields."""
     text = F.struct("name", F.col("critical_question").alias("criticalQuestion"), F.col("trusted_answer").alias("trustedAnswer"))
     flags = [F.lit(False).alias(c) for c in ("hidden", "exported", "reviewed")]
-    return df.select(F.lit(kind).alias("type"), F.col("id").alias(f"{prefix}ResultUUID"), text.alias("textResult"), *flags, F.col("source_document").alias(f"{prefix}DocumentUUID"))
+    return df.select(F.lit(kind).alias("type"), F.col("id").alias(f"{prefix}ResultUUID"), text.alias(text_name), *flags, F.col("source_document").alias(f"{prefix}DocumentUUID"))
+
+
+def from_wire(df: DataFrame, prefix: str = "block", text_name: str = "textResult") -> DataFrame:
+    """Blocks from their nested form: id, name, critical_question, trusted_answer, source_document, type, hidden, exported, reviewed, parents.
+
+    Fields that the input lacks have their defaults: type original, flags false, no document and no parents.
+    """
+    has = set(df.columns)
+    given = lambda name, default: F.coalesce(F.col(name), default) if name in has else default
+    text = {c: F.coalesce(F.col(f"{text_name}.{n}"), F.lit("")).alias(c) for c, n in (("name", "name"), ("critical_question", "criticalQuestion"), ("trusted_answer", "trustedAnswer"))}
+    flags = [given(c, F.lit(False)).alias(c) for c in ("hidden", "exported", "reviewed")]
+    document, parents = given(f"{prefix}DocumentUUID", F.lit(None).cast("string")), given(f"{prefix}ResultsUsed", F.lit(None).cast("array<string>"))
+    return df.select(F.col(f"{prefix}ResultUUID").alias("id"), *text.values(), document.alias("source_document"), given("type", F.lit("original")).alias("type"), *flags, parents.alias("parents"))
 
 
 class Collection:

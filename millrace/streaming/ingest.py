@@ -29,8 +29,13 @@ def ingest(docs: DataFrame, collection: Collection, extractor: Extractor | None
     return collection.upsert(blocks)
 
 
-def ingest_stream(docs: DataFrame, collection: Collection, checkpoint: str, extractor: Extractor | None = None, embedder: Embedder | None = None, available_now: bool = True, **options) -> StreamingQuery:
-    """Ingest a streaming DataFrame. An upsert repeated after a failure gives the same collection."""
+def ingest_stream(docs: DataFrame, collection: Collection, checkpoint: str, extractor: Extractor | None = None, embedder: Embedder | None = None, available_now: bool = True, time_col: str | None = None, late: str = "1 hour", **options) -> StreamingQuery:
+    """Ingest a streaming DataFrame. An upsert repeated after a failure gives the same collection.
+
+    With ``time_col`` rows that repeat an id and text within ``late`` of event time are dropped before they are extracted.
+    """
+    if time_col:
+        docs = docs.withWatermark(time_col, late).dropDuplicatesWithinWatermark([options.get("id_col", "doc_id"), options.get("text_col", "text")])
     writer = docs.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda batch, _: ingest(batch, collection, extractor, embedder, **options) and None)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 

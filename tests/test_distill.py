@@ -235,3 +235,23 @@ def test_http_merger():
     server.shutdown()
     assert got == [{"name": "N & M", "critical_question": "Q", "trusted_answer": "A", "tags": ["X", "Y"], "keywords": []}]
     assert asked[0]["model"] == "m" and "<name>a&lt;b</name>" in asked[0]["messages"][0]["content"]
+
+
+def test_wire_form_both_ways(spark):
+    rows = [("ib_1", "N", "Q", "A", "doc"), ("ib_2", "M", "P", "B", None)]
+    df = spark.createDataFrame(rows, "id string, name string, critical_question string, trusted_answer string, source_document string")
+    back = store.from_wire(store.wire(df, "item", "merged", "itemText"), "item", "itemText")
+    assert sorted((r.id, r.name, r.critical_question, r.trusted_answer, r.source_document) for r in back.collect()) == rows
+    assert {(r.type, r.hidden, r.exported, r.reviewed, r.parents) for r in back.collect()} == {("merged", False, False, False, None)}
+    bare = spark.createDataFrame([("x", ("n", None, "a"))], "blockResultUUID string, textResult struct<name:string,criticalQuestion:string,trustedAnswer:string>")
+    assert store.from_wire(bare).first().asDict() == {"id": "x", "name": "n", "critical_question": "", "trusted_answer": "a", "source_document": None, "type": "original", "hidden": False, "exported": False, "reviewed": False, "parents": None}
+
+
+def test_stream_drops_repeats_within_the_watermark(spark, tmp_path):
+    rows = [(1, "First text here. It has words. ", "2024-01-01 00:00:00"), (1, "First text here. It has words. ", "2024-01-01 00:05:00"), (2, "Second text here. ", "2024-01-01 00:06:00")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, at string").withColumn("at", F.to_timestamp("at"))
+    df.write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+    blocks = store.Collection(spark, str(tmp_path), "raw")
+    I.ingest_stream(stream, blocks, f"{tmp_path}/checkpoint", time_col="at").awaitTermination()
+    assert sorted(r.source_document for r in blocks.read().collect()) == ["1", "2"]
