@@ -8,9 +8,8 @@ and SHA-256 digests of block and payload.
 
 Of records with equal payloads of ``least_bytes`` bytes or more the one with the
 smallest key becomes the response; the others become revisits without a payload.
-An archive is a run of gzip members, one for each record, and is closed when it has
-``per_file_bytes``. The text writer puts bytes out as they are, so it writes the archives
-(to any store that Spark writes to, committed as other output is), and the binary reader
+The text writer puts bytes out as they are, so it writes the archives (gzip, any
+store that Spark writes to, committed as other output is), and the binary reader
 returns them. Reading goes by declared lengths, so payloads may hold anything.
 
 Results for odd input: a null payload counts as empty. A null URL is stored as
@@ -34,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.plans.scratch import keep, place
+from millrace.plans.scratch import place
 
 #: Field names of record headers, by version (fixed values).
 ARC_FIELDS = {
@@ -160,7 +159,7 @@ def warc_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
         yield fields, block
 
 
-def decompressed(data: bytes, step: int = 1 << 16) -> Iterator[bytes]:
+def decompressed(data: bytes, step: int = 1 << 20) -> Iterator[bytes]:
     """Parts of plain or gzip data, of one or more members."""
     if data[:2] != b"\x1f\x8b":
         for lo in range(0, len(data), step):
@@ -214,17 +213,13 @@ def from_arc(files: DataFrame) -> DataFrame:
     return files.mapInArrow(run, "key long, url string, date string, mime string, http binary, payload binary, digest string")
 
 
-def member(data: bytes) -> bytes:
-    """A gzip member."""
-    z = zlib.compressobj(6, zlib.DEFLATED, 31)
-    return z.compress(data) + z.flush()
+def records_within(largest: int, per_file_bytes: int = 1 << 30, most: int = 5000) -> int:
+    """How many records, of ``largest`` payload bytes at most, fit in a file: the binary reader can't take 2 GB at once."""
+    return max(1, min(most, per_file_bytes // (largest + 8192)))
 
 
-def write_warc(records: DataFrame, path: str, least_bytes: int = 100, per_file_bytes: int = 32 << 20) -> None:
-    """Write converted ARC records (a written table, as it is read twice) as gzip WARC archives below ``path``.
-
-    A file holds ``per_file_bytes`` at most, or else one record.
-    """
+def write_warc(records: DataFrame, path: str, least_bytes: int = 100, records_per_file: int = 5000) -> None:
+    """Write converted ARC records as gzip WARC archives below ``path``."""
     large = F.octet_length("payload") >= least_bytes
     firsts = records.where(large).groupBy("digest").agg(F.min("key").alias("first"))
     joined = records.join(firsts, "digest", "left")
@@ -232,26 +227,15 @@ def write_warc(records: DataFrame, path: str, least_bytes: int = 100, per_file_b
     rows = joined.select("key", "url", "date", "mime", "http", "payload", revisit.alias("refers_to"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def volume() -> pa.RecordBatch:
-            # the writer ends a row with a zero byte: the last of a member's size, or of an empty member's
-            data = b"".join(held)
-            return pa.RecordBatch.from_arrays([pa.array([data[:-1] if data[-1] == 0 else (data + member(b""))[:-1]], pa.binary())], names=["value"])
-
         for batch in batches:
-            for row in zip(*batch.columns, strict=True):
-                data = member(warc_record(*(v.as_py() for v in row)))
-                if held and size + len(data) > per_file_bytes:
-                    yield volume()
-                    held, size = [], 0
-                held.append(data)
-                size += len(data)
-        if held:
-            yield volume()
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                # the writer's line separator is the record's last byte
+                out = [warc_record(*(v.as_py() for v in row))[:-1] for row in zip(*part.columns, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
     archive = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string"))
-    archive.write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
+    archive.write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
@@ -290,6 +274,6 @@ def round_trip(pages: DataFrame, date: str = "20240101000000", least_bytes: int
     """Pages to ARC, ARC to WARC archives in the shared folder, and the archives' records."""
     spark = pages.sparkSession
     path = place(spark, "warc")
-    records = keep(from_arc(to_arc(pages, date, id_col=id_col, url_col=url_col, body_col=body_col)), "arc-records", compression="zstd")
-    write_warc(records, path, least_bytes)
+    largest = pages.agg(F.coalesce(F.max(F.octet_length(F.col(body_col).cast("string"))), F.lit(0))).first()[0]
+    write_warc(from_arc(to_arc(pages, date, id_col=id_col, url_col=url_col, body_col=body_col)), path, least_bytes, records_within(largest))
     return read_warc(spark, path)

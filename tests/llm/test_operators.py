@@ -389,6 +389,10 @@ def test_warc_parser():
         list(warc.warc_records(iter([data[:-30]])))
 
 
+def test_archives_are_bounded_by_bytes():
+    assert warc.records_within(100) == 5000 and warc.records_within(1 << 20) == 1016 and warc.records_within(1 << 31) == 1
+
+
 def test_warc_odd_input(spark):
     big = "<p>" * 50
     rows = [(5, "http://a", big), (3, None, big), (4, "http://b\n x", big), (6, "u", "small"), (7, "u", "small"), (8, "u", None), (9, "u", ""), (None, "u", big), (3, "again", big), (10, "u", "é" * 49), (11, "u", "é" * 50), (12, "u", "é" * 50), (13, "u", "x" * 3_000_000)]
