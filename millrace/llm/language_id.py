@@ -164,10 +164,12 @@ class Model:
         start = int(self.offsets[k])
         if state == start:
             return last
+        row, item, code, width = ends[k], self.table.item, flat.item, self.columns + 1
         while at < end:
-            state = int(self.move(np.array([[state]]), flat[at : at + 1], True)[0, 0])
-            own = bool(ends[k, at])
-            ends[k, at] = state == 0
+            c = code(at)
+            state = item(state * width + c) if c <= self.columns else int(self.move(np.array([[state]]), flat[at : at + 1], True)[0, 0])
+            own = row.item(at)
+            row[at] = state == 0
             if state == 0:
                 state = start
                 if own:
