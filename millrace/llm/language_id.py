@@ -37,12 +37,17 @@ from pyspark.sql import functions as F
 BLOCK, AT_ONCE = 2048, 1 << 22
 #: Letters with a column of their own in the table of moves; moves by others are looked up by key.
 COLUMNS = 255
-_DIGITS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha())
-_OTHER = re.compile(rf"[\W_{re.escape(_DIGITS)}]+")
+_OTHER = re.compile(r"[\W\d_]+")
 
 
 def normalised(text: str | None) -> str:
-    return _OTHER.sub(" ", text.lower()).strip() if text else ""
+    out = _OTHER.sub(" ", text.lower()).strip() if text else ""
+    signs = [c for c in set(out) if c != " " and not c.isalpha()]  # numeric signs that are no digits
+    if signs:
+        for c in signs:
+            out = out.replace(c, " ")
+        out = re.sub(" +", " ", out).strip()
+    return out
 
 
 def automaton(codes: list[int]) -> list[dict[int, int]]:
