@@ -48,6 +48,8 @@ from millrace.operators.components import components
 from millrace.plans.scratch import keep
 
 TILE = 1024
+#: Members of a unit up to which pairs are taken one by one.
+FEW = 40
 #: Words of an anchored paragraph, shingles of a window whose least begins one, words of a shingle. Equal runs of UNIT + AROUND - 1 words share one;
 #: with UNIT no less than AROUND the paragraphs of a run leave no gap.
 UNIT, AROUND, GRAM = 23, 23, 3
@@ -192,26 +194,56 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, size: int, filter_mb: float
     return lines.mapInArrow(run, "spot long, text_hash long, line int, shingles binary")
 
 
+def _link_few(sets: list[np.ndarray], side: np.ndarray, threshold: float, forest: Forest) -> None:
+    """Joins pairs that are similar enough one by one."""
+    own = [set(s.tolist()) for s in sets]
+    size = [len(s) for s in own]
+    order = np.argsort(size, kind="stable").tolist()
+    find = forest.find
+    for p, x in enumerate(order):
+        most = size[x] / threshold + 1e-9
+        for y in order[p + 1 :]:
+            if size[y] > most:  # sizes too far apart, as are all that follow
+                break
+            if side[x] == side[y] >= 0 or find(x) == find(y):
+                continue
+            both = len(own[x] & own[y])
+            if both >= threshold * (size[x] + size[y] - both) - 1e-9:
+                forest.join(x, y)
+
+
+def _link_many(sets: list[np.ndarray], side: np.ndarray, threshold: float, forest: Forest) -> None:
+    """The same; each member's overlaps with all larger ones are counted at once."""
+    size = np.array([len(s) for s in sets])
+    order = np.argsort(size, kind="stable")
+    size, side = size[order], side[order]
+    names, flat = np.unique(np.concatenate([sets[i] for i in order.tolist()]), return_inverse=True)
+    ends = np.concatenate([[0], np.cumsum(size)])
+    last = np.searchsorted(size, size / threshold + 1e-9, side="right")
+    part = np.arange(len(sets))  # the component that each is in as yet
+    own = np.zeros(len(names), dtype=bool)
+    for x, top in enumerate(last.tolist()):
+        live = (part[x + 1 : top] != part[x]) & ((side[x + 1 : top] != side[x]) | (side[x] < 0))
+        if not live.any():
+            continue
+        mine = flat[ends[x] : ends[x + 1]]
+        own[mine] = True
+        total = np.concatenate([[0], np.cumsum(own[flat[ends[x + 1] : ends[top]]], dtype=np.int64)])
+        own[mine] = False
+        both = np.diff(total[ends[x + 1 : top + 1] - ends[x + 1]])
+        for y in (x + 1 + np.flatnonzero(live & (both >= threshold * (size[x] + size[x + 1 : top] - both) - 1e-9))).tolist():
+            if forest.join(int(order[x]), int(order[y])):
+                part[part == part[y]] = part[x]
+
+
 def jaccard_edges(tile_rows: DataFrame, threshold: float) -> DataFrame:
     """Edges (a, b) of members of one unit whose sets (``shingles``) are similar enough; enough edges to connect them all."""
 
     def work(unit: pa.Table) -> pa.RecordBatch | None:
         ids, side = unit.column("id").to_numpy(), unit.column("side").to_numpy()
-        sets = [set(np.frombuffer(s.as_py(), np.uint64).tolist()) for s in unit.column("shingles")]
-        size = np.array([len(s) for s in sets])
-        order = np.argsort(size, kind="stable").tolist()
         forest = Forest(len(ids))
-        find = forest.find
-        for p, x in enumerate(order):
-            most = size[x] / threshold + 1e-9
-            for y in order[p + 1 :]:
-                if size[y] > most:  # sizes too far apart, as are all that follow
-                    break
-                if side[x] == side[y] >= 0 or find(x) == find(y):
-                    continue
-                both = len(sets[x] & sets[y])
-                if both >= threshold * (size[x] + size[y] - both) - 1e-9:
-                    forest.join(x, y)
+        link = _link_few if len(ids) <= FEW else _link_many
+        link([np.frombuffer(s.as_py(), np.uint64) for s in unit.column("shingles")], side, threshold, forest)
         if not forest.edges:
             return None
         e = np.array(forest.edges)

@@ -46,6 +46,10 @@ from millrace.plans.scratch import keep
 SEED = 42
 #: Rows of a bucket that one unit of work holds at most (twice this for a pair of tiles).
 TILE = 2048
+#: The same for texts, whose buckets ``key_plan`` lets grow to 8192 unrelated members: a second tile would shuffle every row twice.
+TEXT_TILE = 8192
+#: Pairs of fingerprints that are compared at once.
+CELLS = 1 << 18
 _VOTES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _ROWS = (np.arange(8) * 256).astype(np.int64)
 
@@ -233,25 +237,30 @@ def close_members(unit: pa.Table, key: int, masks: np.ndarray, radius: int, refs
     """Rows of a unit that are within ``radius`` of the 128 bits of another, where no earlier key brings the pair together."""
     one, two = (unit.column(c).to_numpy().view(np.uint64) for c in ("fp", "fp2"))
     side = unit.column("side").to_numpy()
-    table = np.stack([np.bitwise_count(one ^ r) + np.bitwise_count(two ^ ~r) for r in refs]).astype(np.int16)
-    order = np.argsort(table[0], kind="stable")
-    ends = np.searchsorted(table[0][order], table[0][order] + radius, side="right")
+    tables = [np.sort((np.bitwise_count(one ^ r) + np.bitwise_count(two ^ ~r)).astype(np.int16)) for r in refs]
+    left = [int(np.searchsorted(t, t + radius, side="right").sum()) for t in tables]
+    best = refs[int(np.argmin(left))]  # the pivot that leaves the fewest pairs; all but some pairs of a unit are unrelated, so a second one costs more than the distance
+    table = (np.bitwise_count(one ^ best) + np.bitwise_count(two ^ ~best)).astype(np.int16)
+    order = np.argsort(table, kind="stable")
+    ends = np.searchsorted(table[order], table[order] + radius, side="right")
+    x, y = one[order], two[order]
     live = np.zeros(len(one), dtype=bool)
-    for lo in range(0, len(order), 256):
-        hi = min(lo + 256, len(order))
+    step = max(16, CELLS // max(1, len(order)))
+    for lo in range(0, len(order), step):
+        hi = min(lo + step, len(order))
         top = int(ends[hi - 1])
-        a, b = np.nonzero(np.arange(lo, top)[None, :] > np.arange(lo, hi)[:, None])
-        a, b = order[a + lo], order[b + lo]
-        for row in table:
-            near = np.abs(row[a] - row[b]) <= radius
-            a, b = a[near], b[near]
-        near = (np.bitwise_count(one[a] ^ one[b]).astype(np.int16) + np.bitwise_count(two[a] ^ two[b]) <= radius) & ((side[a] != side[b]) | (side[a] < 0))
+        apart = np.bitwise_count(x[lo:hi, None] ^ x[None, lo:top])
+        apart += np.bitwise_count(y[lo:hi, None] ^ y[None, lo:top])
+        at = np.flatnonzero(apart <= radius)
+        a, b = at // (top - lo), at % (top - lo)
+        a, b = order[a[b > a] + lo], order[b[b > a] + lo]
+        near = (side[a] != side[b]) | (side[a] < 0)
         a, b = a[near], b[near]
         if len(a) and key:
-            x, y = one[a] ^ one[b], two[a] ^ two[b]
+            p, q = one[a] ^ one[b], two[a] ^ two[b]
             early = np.zeros(len(a), dtype=bool)
             for m1, m2 in masks[:key]:
-                early |= ((x & m1) | (y & m2)) == 0
+                early |= ((p & m1) | (q & m2)) == 0
             a, b = a[~early], b[~early]
         live[a] = live[b] = True
     return np.flatnonzero(live)
@@ -296,7 +305,7 @@ def text_components(docs: DataFrame, size: int = 5, threshold: float = 0.8, reca
         live = close_members(unit, unit.column("key")[0].as_py(), at, radius, refs)
         return unit.select(["unit", "bucket", "side", "id"]).take(pa.array(live)).combine_chunks().to_batches()[0] if len(live) else None
 
-    met = units(keyed, TILE).select("unit", "bucket", "side", "id", "fp", "fp2", "key").mapInArrow(each_unit(work), "unit long, bucket long, side byte, id long")
+    met = units(keyed, TEXT_TILE).select("unit", "bucket", "side", "id", "fp", "fp2", "key").mapInArrow(each_unit(work), "unit long, bucket long, side byte, id long")
     met = keep(met, "text-pairs")
     spots = met.select("id").distinct().join(classes.select(F.col("class").alias("id"), "place.text_hash", F.xxhash64("place.id", "place.text_hash").alias("spot")), "id")
     spots = keep(spots, "text-spots")

@@ -1,13 +1,16 @@
 """SimHash, paragraphs and embeddings against brute force, and their odd input."""
 
 import collections
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from millrace.llm import hnsw, paragraphs, registry, simhash
+from millrace.plans.buckets import Forest
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
 ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (5, "one two three four"), (5, "one two three four"), (None, "one two three four"), (7, LONG), (8, LONG + " end"), (9, "ONE  two\nthree four")]
@@ -251,6 +254,71 @@ def test_key_plan():
     assert simhash.key_plan(1 << 24, 0.8, 0.995)[0] == 12
 
 
+def cpu(f):
+    began = time.process_time()
+    return f(), time.process_time() - began
+
+
+def test_similar_members_of_a_crowded_unit():
+    """All lines of one template meet in one bucket; most pairs are not similar enough."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 27, dtype=np.uint64)
+
+    def lines(n):
+        out = np.tile(base, (n, 1))
+        out[:, :6] = rng.integers(0, 1 << 62, (n, 6), dtype=np.uint64)
+        for i in range(0, n - 1, 4):
+            out[i + 1, : int(rng.integers(3, 7))] = out[i, 0]  # shorter sets that lie inside another
+            out[i + 1, 5] = out[i, 5]
+        return [np.unique(x) for x in out]
+
+    def parts(sets, side, link):
+        forest = Forest(len(sets))
+        link(sets, side, 0.8, forest)
+        return [forest.find(i) for i in range(len(sets))]
+
+    for n, tiled in ((1, False), (2, False), (90, False), (90, True), (300, False)):
+        sets, side = lines(n) + [np.empty(0, np.uint64)], np.full(n + 1, -1, np.int8)
+        if tiled:
+            side = (np.arange(n + 1) % 2).astype(np.int8)
+        own = [set(x.tolist()) for x in sets]
+        links = [(i, j) for i in range(n + 1) for j in range(i) if (side[i] < 0 or side[i] != side[j]) and len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+        want = union(n + 1, links)
+        assert parts(sets, side, paragraphs._link_many) == parts(sets, side, paragraphs._link_few) == want
+    unit = pa.record_batch({"unit": np.zeros(2048, np.int64), "bucket": np.zeros(2048, np.int64), "side": np.full(2048, -1, np.int8), "id": np.arange(2048), "shingles": pa.array([x.tobytes() for x in lines(2048)], pa.binary())})
+    held = {}
+
+    class Rows:
+        select = sortWithinPartitions = lambda self, *_: self
+        mapInArrow = lambda self, f, _: held.setdefault("work", f)
+
+    paragraphs.jaccard_edges(Rows(), 0.8)
+    _, took = cpu(lambda: list(held["work"](iter([unit]))))
+    assert took < 3
+
+
+def test_close_texts_of_a_crowded_bucket():
+    """Millions of texts make buckets of thousands of unrelated fingerprints."""
+    bits, keys, radius = simhash.key_plan(2_800_000, 0.8, 0.995)
+    masks, refs = np.array(simhash.key_masks(bits, keys), dtype=np.uint64), np.array(simhash.pivots(4), dtype=np.uint64)
+    rng = np.random.default_rng(9)
+    for n, key in ((1, 0), (50, 3), (400, 0), (400, 5), (8192, 5)):
+        one, two = (rng.integers(0, 1 << 64, n, dtype=np.uint64) for _ in range(2))
+        for i in range(0, n - 1, 7):
+            one[i + 1], two[i + 1] = one[i], two[i] ^ rng.integers(0, 1 << int(rng.integers(1, 64)), dtype=np.uint64)
+        side = np.where(np.arange(n) % 3 == 0, 0, 1).astype(np.int8) if n == 50 else np.full(n, -1, np.int8)
+        unit = pa.table({"fp": one.view(np.int64), "fp2": two.view(np.int64), "side": side})
+        got, took = cpu(lambda: simhash.close_members(unit, key, masks, radius, refs))  # noqa: B023
+        if n <= 400:
+            early = lambda x, y: any(not (x & int(a) or y & int(b)) for a, b in masks[:key])  # noqa: B023, E731
+            pairs = [(i, j) for i in range(n) for j in range(i) if side[i] < 0 or side[i] != side[j]]
+            xors = {(i, j): (int(one[i] ^ one[j]), int(two[i] ^ two[j])) for i, j in pairs}
+            want = {m for p, (x, y) in xors.items() if x.bit_count() + y.bit_count() <= radius and not early(x, y) for m in p}
+            assert set(got.tolist()) == want and (n < 50 or want or key)
+        else:
+            assert took < 1.5
+
+
 def test_tuned_bands():
     assert paragraphs.tuned_bands(0.8, 0.99, 3) == 7
     assert 1 - (1 - 0.8**3) ** 7 >= 0.99
