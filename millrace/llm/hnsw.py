@@ -12,8 +12,11 @@ precision. A unit gives each query's number of links and a spanning forest of
 them, not all pairs; components unite the forests.
 
 Shards number ``least_shards`` at least and hold ``shard_rows`` rows and ``shard_mb``
-megabytes of vectors at most on average, blocks likewise, so the work of a unit is
-bounded and units number shards times blocks.
+megabytes of vectors at most on average, so the work of a unit is bounded; units number
+shards times blocks. A unit holds its shard's graph, which reaches it in pieces of
+``PIECE`` bytes so that no row is large, and reads the block in Arrow batches; searches
+take as many queries at once as ``CELLS`` allow. A worker thus needs a few times
+``shard_mb``, however many rows there are.
 
 Results for odd input: a vector that is null, empty, zero, or holds a null or a
 non-finite component links with nothing. Vectors of differing lengths do not
@@ -37,6 +40,13 @@ from millrace.operators.components import components
 from millrace.plans.scratch import keep
 
 DEGREE, BUILD_BEAM, EXPAND = 16, 48, 4
+#: Numbers that a step of a search or of a build holds at once; bytes of a graph in one row.
+CELLS, PIECE = 1 << 23, 1 << 18
+
+
+def _step(nodes: int, width: int) -> int:
+    """Queries that walk together: one mark for each node, and the vectors of the neighbours looked at."""
+    return max(1, min(1024, CELLS // (nodes + 1), CELLS // (EXPAND * 2 * DEGREE * width)))
 
 
 def unit_rows(v: np.ndarray) -> np.ndarray:
@@ -118,7 +128,7 @@ def _layer(vectors: np.ndarray, degree: int, entry_of) -> np.ndarray:
     while done < n:
         size = min(n - done, max(64, min(done, 1024)))
         batch = np.arange(done, done + size)
-        among = vectors[batch] @ vectors[batch].T
+        among = vectors[batch] @ vectors[batch].T  # at most 1024 by 1024
         among[np.tril_indices(size)] = -2.0  # each node meets those of its batch once
         among = np.maximum(among, among.T)
         np.fill_diagonal(among, -2.0)
@@ -127,14 +137,18 @@ def _layer(vectors: np.ndarray, degree: int, entry_of) -> np.ndarray:
         cand, sims = batch[mates].astype(np.int32), np.take_along_axis(among, mates, 1)
         cand[sims < -1.5] = -1
         if done:
-            found, found_sims = beam_search(vectors[:done], near[:done], vectors[batch], entry_of(batch, done), min(BUILD_BEAM, done))
-            cand, sims = np.concatenate([cand, found], axis=1), np.concatenate([sims, found_sims], axis=1)
-        near[batch] = diverse(vectors, batch, cand, sims, degree)
+            step = _step(done, vectors.shape[1])
+            walks = [beam_search(vectors[:done], near[:done], vectors[part], entry_of(part, done), min(BUILD_BEAM, done)) for part in (batch[lo : lo + step] for lo in range(0, size, step))]
+            cand, sims = (np.concatenate([x, np.concatenate(y)], axis=1) for x, y in zip((cand, sims), zip(*walks, strict=True), strict=True))
+        few = max(1, min(1024, CELLS // (cand.shape[1] * max(vectors.shape[1], cand.shape[1]))))
+        for lo in range(0, size, few):
+            near[batch[lo : lo + few]] = diverse(vectors, batch[lo : lo + few], cand[lo : lo + few], sims[lo : lo + few], degree)
         # links back, best first, then thinned
         src = np.repeat(batch, degree)
         dst = near[batch].ravel()
         src, dst = src[dst >= 0], dst[dst >= 0]
-        back = np.einsum("ed,ed->e", vectors[src], vectors[dst])
+        many = max(1, CELLS // (2 * vectors.shape[1]))
+        back = np.concatenate([np.einsum("ed,ed->e", vectors[src[lo : lo + many]], vectors[dst[lo : lo + many]]) for lo in range(0, max(1, len(src)), many)])
         order = np.lexsort((-back, dst))
         src, dst = src[order], dst[order]
         start = np.flatnonzero(np.r_[True, dst[1:] != dst[:-1]]) if len(dst) else np.empty(0, np.int64)
@@ -143,9 +157,10 @@ def _layer(vectors: np.ndarray, degree: int, entry_of) -> np.ndarray:
         extra = np.full((len(targets), 2 * degree), -1, dtype=np.int32)
         fits = rank < 2 * degree
         extra[np.searchsorted(targets, dst[fits]), rank[fits]] = src[fits]
-        for lo in range(0, len(targets), 1024):
-            t = targets[lo : lo + 1024]
-            both = np.concatenate([near[t], extra[lo : lo + 1024]], axis=1)
+        few = max(1, min(1024, CELLS // (3 * degree * max(vectors.shape[1], 3 * degree))))
+        for lo in range(0, len(targets), few):
+            t = targets[lo : lo + few]
+            both = np.concatenate([near[t], extra[lo : lo + few]], axis=1)
             both.sort(axis=1)
             both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
             near[t] = diverse(vectors, t, both, np.einsum("bcd,bd->bc", vectors[np.maximum(both, 0)], vectors[t]), degree)
@@ -198,7 +213,7 @@ class Graph:
         floor = threshold - 1e-4
         while len(todo):
             again = []
-            step = max(1, min(1024, 40_000_000 // (n + 1)))
+            step = _step(n, self.vectors.shape[1])
             for lo in range(0, len(todo), step):
                 part = todo[lo : lo + step]
                 if beam >= n:
@@ -224,7 +239,8 @@ class Graph:
         side /= np.maximum(np.linalg.norm(side, axis=1, keepdims=True), 1e-12)
         cos = threshold + 0.1 * (1 - threshold)
         queries = (cos * own + np.sqrt(1 - cos * cos) * side * (d > 1)).astype(np.float32)
-        sets = [(q, [np.flatnonzero(row >= threshold) for row in q @ self.vectors.T]) for q in (queries, own.astype(np.float32))]
+        step = _step(n, d)
+        sets = [(q, [np.flatnonzero(row >= threshold) for lo in range(0, len(q), step) for row in q[lo : lo + step] @ self.vectors.T]) for q in (queries, own.astype(np.float32))]
         while True:
             means = []
             for q, truth in sets:
@@ -267,62 +283,120 @@ def packed(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, vector binary, key binary")
 
 
-def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, width)
+def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """Vectors of equal width, without an object for each."""
+    out = [np.empty((0, width))]
+    for c in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        if len(c):
+            first = np.frombuffer(c.buffers()[1], np.int64 if pa.types.is_large_binary(c.type) else np.int32)[c.offset]
+            out.append(np.frombuffer(c.buffers()[2], np.float64, len(c) * width, offset=int(first)).reshape(-1, width))
+    return np.concatenate(out)
+
 
+class _Shard:
+    """A graph with its vectors and nodes; searches batches of queries and remembers which nodes their links have joined."""
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 16_384, shard_mb: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    def __init__(self, data: bytes):
+        z = np.load(io.BytesIO(data))
+        self.exact, self.nodes, self.weights = z["exact"], z["nodes"], z["weights"]
+        self.graph = Graph.load(z["graph"].tobytes())
+        self.norms = np.linalg.norm(self.exact, axis=1)
+        self.order = np.argsort(self.nodes)
+        self.names = self.nodes.tolist()
+        self.forest = Forest(len(self.names))
+
+    @staticmethod
+    def dump(graph: Graph, exact: np.ndarray, nodes: np.ndarray, weights: np.ndarray) -> memoryview:
+        out = io.BytesIO()
+        np.savez(out, graph=np.frombuffer(graph.dump(), np.uint8), exact=exact, nodes=nodes, weights=weights)
+        return out.getbuffer()
+
+    def _place(self, node: int) -> int:
+        """Number of a query in the forest; one that is not of this shard gets a new one, as a block has each but once."""
+        at = int(np.searchsorted(self.nodes, node, sorter=self.order))
+        if at < len(self.nodes) and self.nodes[self.order[at]] == node:
+            return int(self.order[at])
+        self.names.append(node)
+        self.forest.up.append(len(self.forest.up))
+        return len(self.names) - 1
+
+    def links(self, own: np.ndarray, q: np.ndarray, threshold: float) -> pa.RecordBatch:
+        """(query, null, number of links) of each query that has links, and (node, node, 0) of each edge that joins what was apart."""
+        a, b, links = [], [], []
+        q_norms = np.linalg.norm(q, axis=1)
+        for i, hits in enumerate(self.graph.search(unit_rows(q), threshold)):
+            hits = hits[(self.exact[hits] @ q[i]) / (self.norms[hits] * q_norms[i]) >= threshold] if len(hits) else hits
+            hits = hits[self.nodes[hits] != own[i]]
+            if len(hits):
+                a.append(int(own[i]))
+                b.append(None)
+                links.append(int(self.weights[hits].sum()))
+                at = self._place(int(own[i]))
+                for h in hits.tolist():
+                    self.forest.join(at, h)
+        for x, y in self.forest.edges:
+            a.append(self.names[x])
+            b.append(self.names[y])
+            links.append(0)
+        self.forest.edges.clear()
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 131_072, shard_mb: int = 32, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row for each row of ``vectors``: id, n_links, component_id, kept and recall (the least that a shard's audit reached)."""
     rows = keep(packed(vectors, id_col, vector_col), "vectors")
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("vector").alias("vector"))
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", (F.octet_length("vector") / 8).cast("int")), "vector-classes")
     count, size = classes.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("vector")), F.lit(0))).first()
     shards = max(least_shards, -(-count // shard_rows), -(-size // (shard_mb << 20)))
-    blocks = max(1, -(-count // block_rows), -(-size // (shard_mb << 20)))
+    blocks = max(1, -(-count // block_rows))
 
     def build(group: pa.Table) -> pa.Table:
-        v = _matrix(group.column("vector"), group.column("width")[0].as_py())
+        shard, width = (group.column(c)[0].as_py() for c in ("shard", "width"))
+        nodes, weights = (group.column(c).to_numpy().astype(np.int64) for c in ("node", "n"))
+        v = _matrix(group.column("vector"), width)
+        del group
         graph = Graph.build(unit_rows(v))
         reached = graph.audit(threshold, recall)
-        cols = [pa.array([group.column("shard")[0].as_py()], pa.int64()), pa.array([group.column("width")[0].as_py()], pa.int32()), pa.array([graph.dump()], pa.large_binary()).cast(pa.binary()), pa.array([v.tobytes()], pa.binary())]
-        cols += [pa.array([group.column(c).to_numpy().astype(np.int64).tobytes()], pa.binary()) for c in ("node", "n")] + [pa.array([float(reached)])]
-        return pa.Table.from_arrays(cols, names=["shard", "width", "graph", "exact", "nodes", "weights", "recall"])
+        data = _Shard.dump(graph, v, nodes, weights)
+        pieces = [pa.array([data[lo : lo + PIECE]], pa.binary()) for lo in range(0, len(data), PIECE)]
+        n = len(pieces)
+        cols = [pa.array([shard] * n, pa.int64()), pa.array([width] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.chunked_array(pieces), pa.array([float(reached)] * n)]
+        return pa.Table.from_arrays(cols, names=["shard", "width", "piece", "data", "recall"])
 
     dealt = classes.select(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(shards)).cast("long").alias("shard"), "width", "vector", "node", "n")
-    graphs = keep(dealt.groupBy("shard", "width").applyInArrow(build, "shard long, width int, graph binary, exact binary, nodes binary, weights binary, recall double"), "graphs")
+    graphs = keep(dealt.groupBy("shard", "width").applyInArrow(build, "shard long, width int, piece int, data binary, recall double"), "graphs")
 
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        a, b, links = [], [], []
-        if left.num_rows and right.num_rows:
-            graph = Graph.load(right.column("graph")[0].as_py())
-            exact = np.frombuffer(right.column("exact")[0].as_py(), np.float64).reshape(len(graph.vectors), -1)
-            nodes, weights = (np.frombuffer(right.column(c)[0].as_py(), np.int64) for c in ("nodes", "weights"))
-            q = _matrix(left.column("vector"), exact.shape[1])
-            own = left.column("node").to_numpy()
-            norms, q_norms = np.linalg.norm(exact, axis=1), np.linalg.norm(q, axis=1)
-            all_nodes = np.unique(np.concatenate([own, nodes]))
-            at_own, at_nodes = np.searchsorted(all_nodes, own).tolist(), np.searchsorted(all_nodes, nodes)
-            forest = Forest(len(all_nodes))
-            for i, hits in enumerate(graph.search(unit_rows(q), threshold)):
-                hits = hits[(exact[hits] @ q[i]) / (norms[hits] * q_norms[i]) >= threshold] if len(hits) else hits
-                hits = hits[nodes[hits] != own[i]]
-                if len(hits):
-                    a.append(int(own[i]))
-                    b.append(None)
-                    links.append(int(weights[hits].sum()))
-                    for h in at_nodes[hits].tolist():
-                        forest.join(at_own[i], h)
-            for x, y in forest.edges:
-                a.append(int(all_nodes[x]))
-                b.append(int(all_nodes[y]))
-                links.append(0)
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Over rows sorted by unit, in each the pieces of the graph first and then the queries, whose ``piece`` is null."""
+        unit, shard, pieces = None, None, []
+        for batch in batches:
+            keys = [batch.column(c).to_numpy() for c in ("shard", "width", "block")]
+            change = np.zeros(batch.num_rows, dtype=bool)
+            for k in (*keys, batch.column("piece").is_null().to_numpy(zero_copy_only=False)):
+                change[1:] |= k[1:] != k[:-1]
+            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                if lo == hi:
+                    continue
+                part, now = batch.slice(lo, hi - lo), tuple(int(k[lo]) for k in keys)
+                if now != unit:
+                    unit, shard, pieces = now, None, []
+                if part.column("piece")[0].is_valid:
+                    pieces += [x.as_py() for x in part.column("data")]
+                    continue
+                if pieces:
+                    shard, pieces = _Shard(b"".join(pieces)), []
+                if shard is not None:  # else no vector of this length is in the shard
+                    yield shard.links(part.column("node").to_numpy(), _matrix(part.column("data"), now[1]), threshold)
 
     block = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(blocks)).cast("long").alias("block")
-    queries = classes.select("width", block, "vector", "node", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    spread = graphs.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).drop("recall")
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    queries = classes.select(each(shards).alias("shard"), "width", block, F.lit(None).cast("int").alias("piece"), F.col("vector").alias("data"), "node")
+    spread = graphs.select("shard", "width", each(blocks).alias("block"), "piece", "data", F.lit(None).cast("long").alias("node"))
     keys = ["shard", "width", "block"]
-    found = keep(queries.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInArrow(search, "a long, b long, links long"), "vector-links")
+    units = spread.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, F.col("piece").asc_nulls_last())
+    found = keep(units.mapInArrow(search, "a long, b long, links long"), "vector-links")
 
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     parts = components(found.where("b is not null").select("a", "b")).withColumnRenamed("component", "part")

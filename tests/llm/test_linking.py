@@ -380,6 +380,26 @@ def test_op4_against_brute_force(spark):
     assert {r.recall for r in got.values()} == {got[rows[0].vec_id].recall} and got[rows[0].vec_id].recall >= 0.98
 
 
+def test_op4_graphs_travel_in_pieces(spark, monkeypatch):
+    """No row holds a whole graph, and a unit that reads its block in several batches loses no link."""
+    rng = np.random.default_rng(12)
+    base = rng.normal(size=(1500, 64))
+    v = np.concatenate([base, base[:300] + rng.normal(size=(300, 64)) * 0.02])
+    kept = {}
+    monkeypatch.setattr(hnsw, "keep", lambda df, name, f=hnsw.keep: kept.setdefault(name, f(df, name)))
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = {r.vec_id: r for r in hnsw.near_duplicates(vectors(spark, list(enumerate(v.astype(np.float32).tolist()))), least_shards=2, block_rows=700).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+    binary = [c for c, kind in kept["graphs"].dtypes if kind == "binary"]
+    assert kept["graphs"].select(F.max(F.greatest(F.lit(0), F.lit(0), *[F.octet_length(c) for c in binary]))).first()[0] <= 1 << 18
+    assert all(got[i].component_id == i % 1500 for i in range(300)) and sum(r.n_links for r in got.values()) == 600
+    assert all(got[1500 + i].component_id == i and not got[1500 + i].kept for i in range(300))
+    assert all(hnsw._step(n, d) * max(n + 1, 128 * d) <= hnsw.CELLS for n in (1000, 51_000, 100_000) for d in (64, 1024))
+
+
 @pytest.mark.parametrize("n", [1, 2, 70, 700])
 def test_graph_survives_a_dump(n):
     v = hnsw.unit_rows(np.random.default_rng(n).normal(size=(n, 8)))
