@@ -12,7 +12,7 @@ precision. A unit gives each query's number of links and a spanning forest of
 them, not all pairs; components unite the forests.
 
 Shards number ``least_shards`` at least and hold ``shard_rows`` rows and ``shard_mb``
-megabytes of vectors at most on average, so the work of a unit is bounded; units number
+megabytes of vectors at most on average, blocks likewise, so the work of a unit is bounded; units number
 shards times blocks. A unit holds its shard's graph, which reaches it in pieces of
 ``PIECE`` bytes so that no row is large, and reads the block in Arrow batches; searches
 take as many queries at once as ``CELLS`` allow. A worker thus needs a few times
@@ -342,14 +342,14 @@ class _Shard:
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(links, pa.int64())], names=["a", "b", "links"])
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 131_072, shard_mb: int = 32, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, recall: float = 0.98, least_shards: int = 12, shard_rows: int = 100_000, block_rows: int = 16_384, shard_mb: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row for each row of ``vectors``: id, n_links, component_id, kept and recall (the least that a shard's audit reached)."""
     rows = keep(packed(vectors, id_col, vector_col), "vectors")
     classes = rows.where("key is not null").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("vector").alias("vector"))
     classes = keep(classes.withColumn("node", F.monotonically_increasing_id()).withColumn("width", (F.octet_length("vector") / 8).cast("int")), "vector-classes")
     count, size = classes.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("vector")), F.lit(0))).first()
     shards = max(least_shards, -(-count // shard_rows), -(-size // (shard_mb << 20)))
-    blocks = max(1, -(-count // block_rows))
+    blocks = max(1, -(-count // block_rows), -(-size // (shard_mb << 20)))
 
     def build(group: pa.Table) -> pa.Table:
         shard, width = (group.column(c)[0].as_py() for c in ("shard", "width"))
