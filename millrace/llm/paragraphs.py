@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BooleanType, StringType
 
 from millrace.llm import bloom
 from millrace.plans.buckets import Forest, each_unit, units
@@ -366,6 +366,19 @@ def _key(id_: Column, text_hash: Column) -> Column:
     return F.xxhash64(id_, text_hash)
 
 
+def _maybe_among(keys: DataFrame, filter_mb: float) -> Callable[[Column], Column]:
+    """A condition that lets every key in ``keys``, and maybe others, through. Python sees the key alone, never a row's text."""
+    shared = keys.sparkSession.sparkContext.broadcast(bloom.build(keys, filter_mb))
+
+    @pandas_udf(BooleanType())
+    def live(key: pd.Series) -> pd.Series:
+        out = np.zeros(len(key), dtype=bool)
+        out[bloom.passing(key.to_numpy().view(np.uint64), shared.value)] = True
+        return pd.Series(out)
+
+    return live
+
+
 def _chained(docs: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
     """id, text_hash, chain, begin, end, component, n_copies, and for each end the id, text_hash and place of the first occurrence of the paragraph there."""
     known = _identity(docs, id_col, text_col)
@@ -417,15 +430,9 @@ def _chained(docs: DataFrame, filter_mb: float, id_col: str, text_col: str) -> D
 def _contexts(docs: DataFrame, wanted: DataFrame, filter_mb: float, id_col: str, text_col: str) -> DataFrame:
     """For each wanted (key, text_hash, at, side): ``words`` (hashes, going away from ``at``) and ``chars`` (character offsets of the edge after 0, 1, ... of them, and last of the far edge of a paragraph that has its near edge at ``at``)."""
     grouped = keep(wanted.groupBy("key", "text_hash").agg(F.collect_set(F.struct("at", "side")).alias("ends")), "passage-ends")
-    shared = docs.sparkSession.sparkContext.broadcast(bloom.build(grouped.select("key"), filter_mb))
-
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            live = pa.array(bloom.passing(batch.column(0).to_numpy().view(np.uint64), shared.value))
-            yield batch.take(live)
-
+    live = _maybe_among(grouped.select("key"), filter_mb)
     texts = _identity(docs, id_col, text_col).where("text_hash is not null and text is not null").select(_key(F.col("id"), F.col("text_hash")).alias("key"), "text_hash", "text")
-    texts = texts.mapInArrow(near, "key long, text_hash long, text string").join(grouped, ["key", "text_hash"]).select("key", "text_hash", "text", "ends")
+    texts = texts.where(live(F.col("key"))).join(grouped, ["key", "text_hash"]).select("key", "text_hash", "text", "ends")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -561,15 +568,22 @@ def _remaining(text: pd.Series, lines: pd.Series, spans: pd.Series) -> pd.Series
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", filter_mb: float = 32, passage_words: int = 45, **options) -> DataFrame:
-    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence: its lines (``copied``) and its words (``runs``)."""
+    """``docs`` with all columns and rows, but of each repeated passage only the first occurrence: its lines (``copied``) and its words (``runs``).
+
+    Only rows that lose something, and the few that a Bloom filter takes for such, go through a join and to Python.
+    """
     lines = copied(docs, id_col=id_col, text_col=text_col, filter_mb=filter_mb, passage_words=passage_words, **options).where("not kept")
     lines = lines.select(F.col(id_col).alias("id"), "text_hash", "line", F.lit(None).cast("struct<first_word:int,n_words:int>").alias("span"))
     words = runs(docs, passage_words, filter_mb, id_col, text_col).where("not kept")
     words = words.select(F.col(id_col).alias("id"), "text_hash", F.lit(None).cast("int").alias("line"), F.struct("first_word", "n_words").alias("span"))
     gone = lines.unionByName(words).groupBy("id", "text_hash").agg(F.collect_set("line").alias("lines"), F.collect_set("span").alias("spans"))
+    gone = keep(gone, "passages-to-go")
+    live = _maybe_among(gone.select(_key(F.col("id"), F.col("text_hash")).alias("key")), filter_mb)(F.col("key"))
     text = F.col(f"row.`{text_col}`").cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.withColumn("id", F.col(f"row.`{id_col}`")).withColumn("text_hash", F.xxhash64(text))
-    here = rows["id"].eqNullSafe(gone["id"]) & (rows["text_hash"] == gone["text_hash"])
-    left = rows.join(gone, here, "left").select("row", _remaining(text, F.col("lines"), F.col("spans")).alias("text"))
+    rows = rows.withColumn("id", F.col(f"row.`{id_col}`")).withColumn("text_hash", F.xxhash64(text)).withColumn("key", _key(F.col("id"), F.col("text_hash")))
+    some = rows.where(live)
+    here = some["id"].eqNullSafe(gone["id"]) & (some["text_hash"] == gone["text_hash"])
+    left = some.join(gone, here, "left").select("row", _remaining(text, F.col("lines"), F.col("spans")).alias("text"))
+    left = left.union(rows.where(~live).select("row", text.alias("text")))
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

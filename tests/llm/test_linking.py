@@ -234,6 +234,36 @@ def test_passages_that_no_whole_line_shows(spark):
     assert left[31] == join(inside[:44]) and left[40] is None and left[41] == "" and paragraphs.runs(df.limit(0)).count() == 0
 
 
+def most_shuffled(spark, run):
+    """(the result of ``run``, the most bytes that one of its stages shuffled)."""
+    context, jvm = spark.sparkContext, spark.sparkContext._jvm
+
+    def stages():
+        context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        none, no = jvm.java.util.ArrayList(), context._gateway.new_array(jvm.double, 0)
+        found = context._jsc.sc().statusStore().stageList(none, False, False, no, none)
+        return {found.apply(i).stageId(): found.apply(i).shuffleWriteBytes() for i in range(found.size())}
+
+    before = set(stages())
+    out = run()
+    return out, max(n for k, n in stages().items() if k not in before)
+
+
+def test_texts_without_repeats_are_not_shuffled(spark):
+    rng = np.random.default_rng(12)
+    passage = " ".join(f"p{x}" for x in rng.integers(0, 1 << 60, 60))
+    rows = [(i, f"{passage}\n" * (i < 3) + "\n".join(f"only{x}" for x in rng.integers(0, 1 << 60, 3000))) for i in range(100)] + [(None, None), (101, None), (None, f"{passage} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").localCheckpoint()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where what repeats is too much to broadcast
+    try:
+        got, most = most_shuffled(spark, lambda: paragraphs.without_copies(docs).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(map(repr, got)) == sorted(repr(type(got[0])(doc_id=d, text=t and t.replace(f"{passage}\n", "") if d is not None else t)) for d, t in rows)
+    assert most < sum(len(t or "") for _, t in rows) / 10  # random digits take half their size
+
+
 def test_anchors_are_those_of_every_window():
     rng = np.random.default_rng(2)
     for top in (2, 9, 1 << 40):
