@@ -186,6 +186,7 @@ def contaminated(docs: DataFrame, items: DataFrame, masks: tuple[str, ...] = MAS
                     yield pa.RecordBatch.from_arrays([batch.column("row").take(which), batch.column("id").take(which), pa.array([p["item_row"] for p in part], pa.int64()), pa.array([p["shift"] for p in part], pa.int32()), pa.array(under, pa.binary())], names=["row", "id", "item_row", "shift", "under"])
 
     laid = aligned.join(hits.select("row", "id", "words"), "row").mapInArrow(cut, f"row long, id {kind}, item_row long, shift int, under binary")
+    laid = keep(laid, "laid-out")  # else, where the items are broadcast, one stage would hold two Python workers a core, which stay
     pairs = laid.join(items.select("item_row", "item", F.col("words").alias("item_words")), "item_row")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

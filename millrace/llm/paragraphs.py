@@ -367,7 +367,11 @@ def _key(id_: Column, text_hash: Column) -> Column:
 
 
 def _maybe_among(keys: DataFrame, filter_mb: float) -> Callable[[Column], Column]:
-    """A condition that lets every key in ``keys``, and maybe others, through. Python sees the key alone, never a row's text."""
+    """A condition that lets every key in ``keys``, and maybe others, through. Python sees the key alone, never a row's text.
+
+    What passes is joined by a shuffle (hint ``merge``): with a broadcast, Python code after the join would run in the same
+    stage, and each core would hold two Python workers for the rest of the application.
+    """
     shared = keys.sparkSession.sparkContext.broadcast(bloom.build(keys, filter_mb))
 
     @pandas_udf(BooleanType())
@@ -432,7 +436,7 @@ def _contexts(docs: DataFrame, wanted: DataFrame, filter_mb: float, id_col: str,
     grouped = keep(wanted.groupBy("key", "text_hash").agg(F.collect_set(F.struct("at", "side")).alias("ends")), "passage-ends")
     live = _maybe_among(grouped.select("key"), filter_mb)
     texts = _identity(docs, id_col, text_col).where("text_hash is not null and text is not null").select(_key(F.col("id"), F.col("text_hash")).alias("key"), "text_hash", "text")
-    texts = texts.where(live(F.col("key"))).join(grouped, ["key", "text_hash"]).select("key", "text_hash", "text", "ends")
+    texts = texts.where(live(F.col("key"))).join(grouped.hint("merge"), ["key", "text_hash"]).select("key", "text_hash", "text", "ends")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -584,6 +588,6 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("id", F.col(f"row.`{id_col}`")).withColumn("text_hash", F.xxhash64(text)).withColumn("key", _key(F.col("id"), F.col("text_hash")))
     some = rows.where(live)
     here = some["id"].eqNullSafe(gone["id"]) & (some["text_hash"] == gone["text_hash"])
-    left = some.join(gone, here, "left").select("row", _remaining(text, F.col("lines"), F.col("spans")).alias("text"))
+    left = some.join(gone.hint("merge"), here, "left").select("row", _remaining(text, F.col("lines"), F.col("spans")).alias("text"))
     left = left.union(rows.where(~live).select("row", text.alias("text")))
     return left.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])

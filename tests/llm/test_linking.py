@@ -1,6 +1,7 @@
 """SimHash, paragraphs and embeddings against brute force, and their odd input."""
 
 import collections
+import re
 import time
 
 import numpy as np
@@ -264,6 +265,19 @@ def test_texts_without_repeats_are_not_shuffled(spark):
     assert most < sum(len(t or "") for _, t in rows) / 10  # random digits take half their size
 
 
+def test_no_stage_of_without_copies_has_two_python_workers_a_core(spark):
+    words = [f"p{x}" for x in range(60)]
+    docs = spark.createDataFrame([(i, " ".join([f"a{i}", *words, f"b{i}"])) for i in range(5)], "doc_id long, text string").localCheckpoint()
+    store = spark._jsparkSession.sharedState().statusStore()
+    listed = lambda: [found.apply(i) for found in [store.executionsList()] for i in range(found.size())]
+    before = max((e.executionId() for e in listed()), default=-1)
+    assert len(paragraphs.without_copies(docs).where("length(text) < 20").collect()) == 4
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    plans = [e.physicalPlanDescription().split("== Initial Plan ==")[0] for e in listed() if e.executionId() > before]
+    twice = [p for p in plans if len(re.findall(r"(?:MapInArrow|ArrowEvalPython) \(\d+\)", p)) > 1]
+    assert len(twice) >= 2 and not any("BroadcastHashJoin" in p for p in twice)
+
+
 def test_anchors_are_those_of_every_window():
     rng = np.random.default_rng(2)
     for top in (2, 9, 1 << 40):
