@@ -37,8 +37,14 @@ def units(rows: DataFrame, tile: int, deal: bool = True) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys, "side", "id") if deal else dealt
 
 
-def each_unit(work: Callable[[pa.Table], pa.RecordBatch | None], keys: tuple[str, ...] = ("unit", "bucket")) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for mapInArrow over sorted rows that calls ``work`` with each run of equal keys."""
+def each_unit(work: Callable[[pa.Table], pa.RecordBatch | Iterator[pa.RecordBatch] | None], keys: tuple[str, ...] = ("unit", "bucket")) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function for mapInArrow over sorted rows that calls ``work`` with each run of equal keys; it gives one batch, several, or none."""
+
+    def results(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        out = work(pa.concat_tables(held) if len(held) > 1 else held[0])
+        for batch in () if out is None else (out,) if isinstance(out, pa.RecordBatch) else out:
+            if batch.num_rows:
+                yield batch
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -55,16 +61,12 @@ def each_unit(work: Callable[[pa.Table], pa.RecordBatch | None], keys: tuple[str
             for lo, hi in zip(cuts, cuts[1:], strict=False):
                 key = tuple(c[lo] for c in cols)
                 if held and key != last:
-                    out = work(pa.concat_tables(held) if len(held) > 1 else held[0])
+                    yield from results(held)
                     held = []
-                    if out is not None and out.num_rows:
-                        yield out
                 last = key
                 held.append(table.slice(lo, hi - lo))
         if held:
-            out = work(pa.concat_tables(held) if len(held) > 1 else held[0])
-            if out is not None and out.num_rows:
-                yield out
+            yield from results(held)
 
     return run
 

@@ -214,3 +214,54 @@ def test_leader_clusters_are_those_of_the_plain_scan(spark, monkeypatch):
     over = {reps[k]: reps[x] for k, x in enumerate(C.lead([rows[r][2] for r in reps], 0.7))}
     assert {r.id: r.cluster for r in C.two_pass_clusters(df, 0.7).collect()} == {i: over[x] for i, x in want.items()}
     assert C.two_pass_clusters(df.limit(0)).count() == 0
+
+
+def test_blocks_and_copies_stop_growing(spark):
+    for n in (50_000, 600_000, 1_500_000):
+        assert J._blocks(n, 64) == 24  # copies of a row that a join of a table with itself makes
+    assert J._blocks(6_000_000, 64) * 64 * 8 * 65_536 >= 6_000_000 * 64 * 8 > J._blocks(5_000_000, 64)
+    many = spark.range(5000).select("id", F.array(F.lit(1.0), F.col("id").cast("double")).alias("embedding"))
+    assert J._tiles(J._rows(many, "id", "embedding"), None, 100).count() == 24 * 5000
+
+
+@pytest.mark.parametrize("threshold", [-0.2, 0.35, 0.999])
+def test_candidates_in_single_precision_lose_nothing(spark, threshold):
+    v = np.random.default_rng(1).normal(size=(120, 8)).astype(np.float32)
+    v[60:] = v[:60] + np.float32(1e-4)
+    rows = [*enumerate(v.tolist()), (500, None), (501, [0.0] * 8), (502, [float("inf")] * 8), (503, [float("nan")] * 8)]
+    want = brute([r for r in rows if r[0] < 500], threshold)
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"id long, embedding array<{kind}>")
+        assert {(r.id_a, r.id_b) for r in J.similar_pairs(df, threshold, block_rows=40).collect()} == want
+
+
+def test_sign_hashes_in_tiles_find_what_buckets_find(spark):
+    rows = near(150)
+    got = {(r.id_a, r.id_b) for r in J.similar_pairs_lsh(frame(spark, rows), 0.3, tables=3, bits=3).collect()}
+    v = np.array([r for _, r in rows])
+    h = J.sign_hashes(v, J.planes(3, 3, 16))
+    assert got == {(a, b) for a, b in brute(rows, 0.3) if (h[a] == h[b]).any()} and len(got) < len(brute(rows, 0.3))
+
+
+def test_nearest_with_many_ties_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(J, "BLOCK", 50)
+    rng = np.random.default_rng(3)
+    v = np.concatenate([np.tile([1.0, 2.0, 0.0], (300, 1)), rng.integers(-2, 3, (200, 3))]) * 1.0
+    rows = list(enumerate(v.tolist()))
+    got = {}
+    for r in J.nearest(frame(spark, rows), frame(spark, rows), 3, itself=False).collect():
+        got.setdefault(r.query, []).append((r["rank"], r.match))
+    n = np.linalg.norm(v, axis=1)
+    u = v / np.where(n > 0, n, 1)[:, None]
+    for i in range(len(v)):
+        d = np.round(1 - u @ u[i], 12)
+        order = [j for j in sorted(range(len(v)), key=lambda j: (d[j], j)) if j != i and n[j] > 0][:3]
+        assert [m for _, m in sorted(got.get(i, []))] == (order if n[i] > 0 else [])
+
+
+def test_many_ties_are_sorted_out_in_double_precision():
+    v = np.tile(np.eye(4)[0], (5000, 1))
+    best = J._Nearest(v[:3], np.arange(3), 2, False)
+    best.add(v[3000:], np.arange(3000, 5000))
+    best.add(v[:3000], np.arange(3000))
+    assert sorted(zip(best.row.tolist(), best.match.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)]
