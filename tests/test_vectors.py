@@ -265,3 +265,18 @@ def test_many_ties_are_sorted_out_in_double_precision():
     best.add(v[3000:], np.arange(3000, 5000))
     best.add(v[:3000], np.arange(3000))
     assert sorted(zip(best.row.tolist(), best.match.tolist(), strict=True)) == [(0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1)]
+
+
+
+def test_links_have_the_components_of_all_pairs(spark):
+    rows = [*near(300), (1000, None)]
+    df = frame(spark, rows)
+    pairs = J.similar_pairs(df, 0.6, block_rows=40)
+    links = J.similar_links(df, 0.6, block_rows=40)
+    parts = lambda e: {(r.node, r.component) for r in components(e.select("id_a", "id_b")).collect()}
+    assert parts(links) == parts(pairs) and parts(pairs)
+    copies = spark.range(3000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
+    assert J.similar_links(copies, 0.9, block_rows=300).count() <= 10 * 3000  # of 4,498,500 pairs
+    some = df.where("id < 20")
+    touching = {(r.id_a, r.id_b) for r in pairs.collect() if r.id_a < 20 or r.id_b < 20}
+    assert parts(J.similar_links(df, 0.6, fresh=some, block_rows=40)) == parts(spark.createDataFrame(sorted(touching), "id_a long, id_b long"))
