@@ -255,3 +255,35 @@ def test_stream_drops_repeats_within_the_watermark(spark, tmp_path):
     blocks = store.Collection(spark, str(tmp_path), "raw")
     I.ingest_stream(stream, blocks, f"{tmp_path}/checkpoint", time_col="at").awaitTermination()
     assert sorted(r.source_document for r in blocks.read().collect()) == ["1", "2"]
+
+
+def test_later_rounds_compare_what_is_new(spark, monkeypatch):
+    from millrace.operators import distill as D
+    from millrace.operators import similarity as J
+
+    class Fails:
+        def merge(self, blocks):
+            if any("stuck" in b["trusted_answer"] for b in blocks):
+                raise ValueError
+            return [{**min(blocks, key=lambda b: b["id"]), "trusted_answer": " ".join(sorted({w for b in blocks for w in b["trusted_answer"].split()}))}]
+
+    texts = [" ".join(group + w for k, w in enumerate("uvwxyz") if k not in (i % 6, (i * i + i // 6) % 6)) + (" stuck" if group == "ab" else "") for group in ("ab", "cd", "ef", "gh") for i in range(12)]
+    rows = [(f"b{i:03d}", "n", "q", t, "s") for i, t in enumerate(texts)]
+    blocks = spark.createDataFrame(rows, "id string, name string, critical_question string, trusted_answer string, source_document string")
+    options = D.Options(threshold=0.75, rounds=3, step=0.02)
+    seen, counted = [], J.similar_links
+
+    def links(live, t, fresh=None):
+        seen.append((live.count(), None if fresh is None else fresh.count()))
+        return counted(live, t, fresh=fresh)
+
+    def plain(live, t, fresh=None):
+        return J.similar_pairs(live, t)
+
+    rows_of = lambda r: sorted((x.id, x.trusted_answer, x.hidden, tuple(x.roots or [])) for x in r.blocks.collect())
+    monkeypatch.setattr(D, "similar_links", links)
+    got = D.distill(blocks, None, Fails(), options)
+    monkeypatch.setattr(D, "similar_links", plain)
+    want = D.distill(blocks, None, Fails(), options)
+    assert rows_of(got) == rows_of(want) and got.trace == want.trace and got.merged
+    assert seen[0][1] is None and len(seen) > 1 and any(new < n for n, new in seen[1:])
