@@ -292,3 +292,21 @@ def test_hops_over_vectors_are_those_over_pairs(spark):
         want = {(r.id, r.hops) for r in hops(pairs.select("id_a", "id_b").toDF("a", "b"), pairs.agg(F.min("id_a").alias("id"))).collect()}
         assert {(r.id, r.hops) for r in J.similar_hops(df, t).collect()} == want and len(want) > 5
     assert [tuple(r) for r in J.similar_hops(df.where("id < 4"), 0.99).collect()] == [(None, 0)]
+
+
+def test_a_common_beginning_without_rare_characters_counts():
+    a, b = "ab" * 150, "ab" * 150 + "cd" * 50
+    t = difflib.SequenceMatcher(None, a, b).ratio()
+    assert list(C.close_texts([a, b], [-1, -1], t)) == [(0, 1)] and 0.85 < t < 0.86
+
+
+def test_bounds_of_texts_in_rare_characters(monkeypatch):
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("aeinrst"), 3)) for _ in range(40)] + ["quiz", "Xylo", "jump", "fog."]
+    base = [" ".join(rng.choice(words, 90)) for _ in range(6)]
+    texts = [" ".join(w if rng.random() > share else rng.choice(words) for w in t.split()) for t in base for share in (0, 0.1, 0.2, 0.3, 0.4)]
+    asked, plain = [], C.ratio_reaches
+    monkeypatch.setattr(C, "ratio_reaches", lambda a, b, t: asked.append(1) or plain(a, b, t))
+    want = [(i, j) for i in range(30) for j in range(i + 1, 30) if difflib.SequenceMatcher(None, texts[i], texts[j]).ratio() >= 0.7]
+    assert sorted(C.close_texts(texts, [-1] * 30, 0.7)) == want and want
+    assert len(asked) < 30 * 29 // 4
