@@ -310,3 +310,15 @@ def test_bounds_of_texts_in_rare_characters(monkeypatch):
     want = [(i, j) for i in range(30) for j in range(i + 1, 30) if difflib.SequenceMatcher(None, texts[i], texts[j]).ratio() >= 0.7]
     assert sorted(C.close_texts(texts, [-1] * 30, 0.7)) == want and want
     assert len(asked) < 30 * 29 // 4
+
+
+def test_louvain_in_the_spread_form(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    edges = [(a, b, 1.0) for g in range(6) for a in range(10 * g, 10 * g + 10) for b in range(a + 1, 10 * g + 10) if rng.random() < 0.8]
+    edges += [(int(a), int(b), 0.3) for a, b in {tuple(sorted(rng.integers(0, 60, 2))) for _ in range(30)} if a // 10 != b // 10]
+    pairs = spark.createDataFrame(edges + [(100, 101, 1.0)], "id_a long, id_b long, sim double")
+    found = lambda: {r.id: r.cluster for r in C.louvain(spark.range(110), pairs).collect()}
+    plain = found()
+    monkeypatch.setattr(C, "LARGE", 40)
+    monkeypatch.setattr(C, "AT_ONCE", 50)
+    assert found() == plain == {i: i // 10 * 10 if i < 60 else 100 if i in (100, 101) else i for i in range(110)}
